@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcheck.llm import line_dedup
+from gridcheck.llm import line_dedup, token_counts
 from gridcheck.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup,)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
