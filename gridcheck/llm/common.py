@@ -37,7 +37,7 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
 def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str = "text", drop: tuple[str, ...] = (), chunk: int = 1000) -> DataFrame:
     """Apply a batch function to the texts of docs, partition by partition.
 
-    make() runs once per task and returns f(texts: list[str | None]) -> one
+    make() runs once per task and returns f(texts: Arrow string array) -> one
     list or array per field, in the order of fields, (name, SQL type) pairs.
     Columns of docs pass through, but for those in drop and those whose name
     clashes with a field. Memory holds chunk documents at a time.
@@ -60,7 +60,7 @@ def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str =
         for whole in batches:
             for start in range(0, whole.num_rows, chunk):
                 batch = whole.slice(start, chunk)
-                found = f(batch.column(at).to_pylist())
+                found = f(batch.column(at))
                 columns = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns[:at], types, strict=False)]
                 columns += [pa.array(x, type=t) for x, t in zip(found, types[at:], strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcheck.llm import line_dedup, token_counts
+from gridcheck.llm import line_dedup, quality_rules, token_counts
 from gridcheck.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -231,7 +231,8 @@ def count_tokens(docs: DataFrame, model_file: str | None = None, limit: int = 40
 
         counter = PieceCounter(model_file or public_tokenizers.path("piece_bpe_32k.model"))
 
-        def f(texts):
+        def f(column):
+            texts = column.to_pylist()
             n_bytes = [len(t.encode()) if t else 0 for t in texts]
             n = counter.count(texts)
             return n_bytes, n, [x > limit for x in n]
