@@ -66,3 +66,25 @@ def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str =
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df cut from its lineage and held in the folder of spark.checkpoint.dir,
+    which all executors share. A folder of our own is set only where the
+    session names none and runs on one machine."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not context.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir is not set; a cluster needs a folder that all executors share")
+            import tempfile
+
+            named = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(named)
+    return df.checkpoint()
+
+
+def small(df: DataFrame, rows: int, limit: int = 50_000) -> DataFrame:
+    """df marked for broadcast if its counted rows allow it; else Spark joins it as it would any table."""
+    return F.broadcast(df) if rows <= limit else df
