@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcheck.llm import line_dedup, mixing, packing, quality_rules, token_counts, topk_search
+from gridcheck.llm import language_id, line_dedup, mixing, packing, quality_rules, token_counts, topk_search
 from gridcheck.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts, op5_mixing, op7_topk_search, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts, op4_language_id, op5_mixing, op7_topk_search, op9_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
