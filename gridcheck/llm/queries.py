@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcheck.llm import language_id, line_dedup, mixing, packing, quality_rules, token_counts, topk_search
+from gridcheck.llm import language_id, line_dedup, mixing, near_dedup, packing, quality_rules, token_counts, topk_search
 from gridcheck.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -41,8 +45,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts, op4_language_id, op5_mixing, op7_topk_search, op9_packing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_token_counts, op4_language_id, op5_mixing, op6_near_dedup, op7_topk_search, op9_packing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL, "op7_topk_search": topk_search.SQL}
+    return {"op1_line_dedup": line_dedup.SQL, "op5_mixing": mixing.SQL, "op6_near_dedup": near_dedup.SQL, "op7_topk_search": topk_search.SQL}
