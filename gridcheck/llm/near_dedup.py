@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if found.limit(1).count():
         more = checkpointed(confirmed(found, docs, percent))
         if more.limit(1).count():
-            labels = components(labels.select("node", "label").union(more))
+            labels = components(labels.toDF("a", "b").union(more))
     named = classes.join(labels, classes["_rep"] == labels["node"], "left").select("_f1", "_f2", F.coalesce("label", "_rep").alias("_comp"))
     known = part.join(named, ["_f1", "_f2"]).select("doc_id", "n_shingles", F.col("_comp").alias("component_id"))
     alone = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
