@@ -99,7 +99,7 @@ def _ranges(spark, d):
     last = (n % 6) == 5
     lo = F.when(last, five).otherwise(five + n % 6)
     hi = F.when(last, five + 5).otherwise(five + n % 6 + 1 + F.when((F.col("p_size") % 9 == 0) & (n % 6 == 2), 1).otherwise(0))
-    rows = p.withColumn("n", n).where("p_partkey < 2400")
+    rows = p.withColumn("n", n)
     return rows.select(
         F.expr("p_partkey div 24").alias("section"), F.col("n").cast("int").alias("row_ord"), F.concat_ws("-", lo.cast("string"), hi.cast("string")).alias("age_norm")
     )
@@ -113,7 +113,7 @@ def subtotal_tiling(spark, d):
 RANGES = """ranges AS (
   SELECT p_partkey // 24 AS section, CAST(n AS INTEGER) AS row_ord, CASE WHEN n % 6 = 5 THEN n // 6 * 5 ELSE n // 6 * 5 + n % 6 END AS lo,
     CASE WHEN n % 6 = 5 THEN n // 6 * 5 + 5 ELSE n // 6 * 5 + n % 6 + 1 + CASE WHEN p_size % 9 = 0 AND n % 6 = 2 THEN 1 ELSE 0 END END AS hi
-  FROM (SELECT *, p_partkey % 24 AS n FROM part WHERE p_partkey < 2400)
+  FROM (SELECT *, p_partkey % 24 AS n FROM part)
 )"""
 TILING = f"""WITH RECURSIVE {RANGES}, walk AS (
   SELECT section, row_ord, lo AS lo0, hi AS hi0, row_ord AS at, hi AS need, 0 AS n, '' AS names FROM ranges WHERE hi - lo > 1
