@@ -34,23 +34,29 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str = "text", drop: tuple[str, ...] = (), chunk: int = 1000) -> DataFrame:
+def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """Apply a batch function to the texts of docs, partition by partition.
 
     make() runs once per task and returns f(texts: Arrow string array) -> one
     list or array per field, in the order of fields, (name, SQL type) pairs.
     Columns of docs pass through, but for those in drop and those whose name
-    clashes with a field. Memory holds chunk documents at a time.
+    clashes with a field. f sees runs of texts of bounded bytes.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
+    from gridcheck.llm.wordhash import slices
+
     clash = {n.lower() for n, _ in fields} | {d.lower() for d in drop}
     keep = [c for c in docs.columns if c.lower() not in clash]
-    at = len(keep)
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias(free_name(docs, "_text")[0]))
-    schema = StructType(list(source.schema.fields[:at]))
+    own = text in keep and dict(docs.dtypes)[text] == "string"
+    columns = [F.col(f"`{c}`") for c in keep]
+    if not own:
+        columns.append(F.col(text).cast("string").alias(free_name(docs, "_text")[0]))
+    source = docs.select(*columns)
+    n, at = len(keep), keep.index(text) if own else len(keep)
+    schema = StructType(list(source.schema.fields[:n]))
     for name, kind in fields:
         schema = schema.add(name, _parse_datatype_string(kind))
 
@@ -58,12 +64,13 @@ def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str =
         f = make()
         types = [x.type for x in to_arrow_schema(schema)]
         for whole in batches:
-            for start in range(0, whole.num_rows, chunk):
-                batch = whole.slice(start, chunk)
+            for start, length in slices(whole.column(at)):
+                batch = whole.slice(start, length)
                 found = f(batch.column(at))
-                columns = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns[:at], types, strict=False)]
-                columns += [pa.array(x, type=t) for x, t in zip(found, types[at:], strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+                out = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns[:n], types, strict=False)]
+                out += [pa.array(x, type=t) for x, t in zip(found, types[n:], strict=True)]
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

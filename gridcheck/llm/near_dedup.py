@@ -11,11 +11,12 @@
    bucket's least member (a star, linear in the bucket), on full sets.
 4. Components come from minimum labels with pointer jumping.
 5. Buckets that still hold several components are searched in blocks of
-   bounded size for pairs whose signatures agree in at least half the slots;
-   these are compared on full sets as well, and components are closed again.
+   bounded size: full sets meet in an inverted index inside the task, each
+   pair in the first band that it shares, and only links that join two
+   components leave it. Components are then closed again.
 
-A pair at the threshold shares no band with a chance of 2e-6, and fails the
-test of step 5 with one of 5e-7.
+A pair at the threshold shares no band with a chance of 2e-6; all pairs that
+share one and aren't in one component already are compared on full sets.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcheck.llm.common import checkpointed, map_texts, small
-from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, windows
+from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, slices, windows
 
 SHINGLE, PERCENT = 5, 75
 SLOTS, ROWS = 72, 3
@@ -67,6 +68,14 @@ def shingle_sets(texts: Texts, width: int = SHINGLE) -> tuple[np.ndarray, np.nda
     return out[new], np.bincount(owner[new], minlength=texts.n)
 
 
+def bounded_sets(column) -> tuple[np.ndarray, np.ndarray]:
+    """shingle_sets() of a column of any size, a bounded run of texts at a time."""
+    parts = [shingle_sets(Texts(column.slice(at, n))) for at, n in slices(column)]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([s for s, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def super_minhash(sets: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     """Signatures, one row per set: the least (rank, fraction) that an element deals to each slot, as rank * 2^32 + fraction."""
     n = len(sizes)
@@ -77,7 +86,7 @@ def super_minhash(sets: np.ndarray, sizes: np.ndarray, slots: int = SLOTS) -> np
     low = np.uint64(0xFFFFFFFF)
     deal = None
     for rank in range(slots):
-        x = mix(keys + GOLDEN * np.uint64(rank + 1))
+        x = mix(keys + np.uint64((int(GOLDEN) * (rank + 1)) % 2**64))
         pick = (((x >> np.uint64(32)) * np.uint64(slots - rank)) >> np.uint64(32)).astype(np.int64) + rank
         if deal is None:
             slot = pick
@@ -116,7 +125,7 @@ def describe(column) -> list:
     sig, at = [], 0
     firsts = np.append(0, np.cumsum(sizes))
     while at < len(sizes):
-        stop = max(at + 1, int(np.searchsorted(firsts, firsts[at] + 150_000, "right")) - 1)
+        stop = max(at + 1, int(np.searchsorted(firsts, firsts[at] + 100_000, "right")) - 1)
         sig.append(super_minhash(sets[firsts[at] : firsts[stop]], sizes[at:stop]))
         at = stop
     slots = mix(np.concatenate(sig) if sig else np.zeros((0, SLOTS), np.uint64)).astype(np.uint32)
@@ -138,18 +147,14 @@ def _sets(ids, column) -> dict:
     first: dict = {}
     for k, i in enumerate(ids):
         first.setdefault(i, k)
-    sets, sizes = shingle_sets(Texts(column.take(pa.array(list(first.values()), pa.int64()))))
+    sets, sizes = bounded_sets(column.take(pa.array(list(first.values()), pa.int64())))
     return dict(zip(first, np.split(sets, np.cumsum(sizes)[:-1]), strict=True))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Of pairs (a, a_fp, b, b_fp), distinct, those (a, b) whose full sets agree."""
     ends = pairs.select(F.col("a").alias("_id"), F.col("a_fp").alias("_f")).union(pairs.select("b", "b_fp")).distinct()
-    ends = checkpointed(ends)
-    asked = small(ends, ends.count())
-    source = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_fp"), "text")
-    texts = source.join(asked, (source["doc_id"] == asked["_id"]) & (source["_fp"] == asked["_f"])).select("_id", "_f", "text")
-    texts = checkpointed(texts.groupBy("_id", "_f").agg(F.first("text").alias("_text")))
+    texts = _texts(ends, docs)
     left = texts.select(F.col("_id").alias("a"), F.col("_f").alias("a_fp"), F.col("_text").alias("_a_text"))
     right = texts.select(F.col("_id").alias("b"), F.col("_f").alias("b_fp"), F.col("_text").alias("_b_text"))
     both = pairs.join(left, ["a", "a_fp"]).join(right, ["b", "b_fp"]).select("a", "b", "a_fp", "b_fp", "_a_text", "_b_text")
@@ -158,8 +163,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
         import pyarrow as pa
 
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
                 a, b, a_fp, b_fp = (batch.column(k).to_pylist() for k in range(4))
                 a_key, b_key = list(zip(a, a_fp, strict=True)), list(zip(b, b_fp, strict=True))
                 a_set, b_set = _sets(a_key, batch.column(4)), _sets(b_key, batch.column(5))
@@ -191,24 +196,47 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _search_block(key, table):
-    """Pairs of different components in one block pair of a bucket whose signatures agree in half the slots."""
+    """Links between different components in one block pair of a bucket: at most as many as would join them."""
     import pyarrow as pa
 
-    empty = {"a": pa.array([], pa.int64()), "a_fp": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "b_fp": pa.array([], pa.int64())}
-    same = key[1].as_py() == key[2].as_py()
-    sig = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, SLOTS)
-    rep, fp, comp, n, side = (table[c].to_numpy() for c in ("_rep", "_fp", "_comp", "_n", "_side"))
-    left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
-    found = []
-    for i in left:
-        other = right[rep[right] > rep[i]] if same else right
-        other = other[(comp[other] != comp[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
+    band, lo, hi = (k.as_py() for k in key[1:])
+    rep, comp, side = (table[c].to_numpy() for c in ("_rep", "_comp", "_side"))
+    bands = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, BANDS, ROWS)
+    sets, n = bounded_sets(pa.concat_arrays(table["_text"].chunks))
+    first = np.append(0, np.cumsum(n))
+    _, number = np.unique(sets, return_inverse=True)
+    held = np.append(0, np.cumsum(np.bincount(number)))
+    holder = np.repeat(np.arange(len(n)), n)[np.argsort(number, kind="stable")]
+    _, root = np.unique(comp, return_inverse=True)
+    right = np.flatnonzero(side == hi)
+    a, b = [], []
+    for i in np.flatnonzero(side == lo):
+        other = right[rep[right] > rep[i]] if lo == hi else right
+        other = other[(root[other] != root[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
         if len(other):
-            hit = other[2 * (sig[other] == sig[i]).sum(1) >= SLOTS]
-            found += [(rep[i], fp[i], rep[j], fp[j]) for j in hit]
-    if not found:
-        return pa.table(empty)
-    return pa.table({name: pa.array(col, pa.int64()) for name, col in zip(empty, zip(*found, strict=True), strict=True)})
+            other = other[(bands[other] == bands[i]).all(2).argmax(1) == band]
+        if len(other) < 16:
+            both = np.array([common_shingles(sets[first[i] : first[i + 1]], sets[first[j] : first[j + 1]]) for j in other], np.int64)
+        else:
+            mine = number[first[i] : first[i + 1]]
+            size = held[mine + 1] - held[mine]
+            at = np.repeat(held[mine] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            both = np.bincount(holder[at], minlength=len(n))[other]
+        for j in other[100 * both >= PERCENT * (n[i] + n[other] - both)]:
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                a.append(rep[i])
+                b.append(rep[j])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _texts(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """(_id, _f, _text) of ends (_id, _f), distinct: the texts with that doc_id and hash."""
+    ends = checkpointed(ends)
+    asked = small(ends, ends.count())
+    source = docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("_fp"), "text")
+    texts = source.join(asked, (source["doc_id"] == asked["_id"]) & (source["_fp"] == asked["_f"])).select("_id", "_f", "text")
+    return checkpointed(texts.groupBy("_id", "_f").agg(F.first("text").alias("_text")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -235,7 +263,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select(F.col("_r.doc_id").alias("_rep"), F.col("_r._fp").alias("_fp"), "_n", "_f1", "_f2", "_sig")
     )
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", 1 + 4 * ROWS * b, 4 * ROWS)) for b in range(BANDS)])
-    banded = classes.select("_rep", "_fp", "_n", F.explode(keys).alias("_key"))
+    banded = classes.select("_rep", "_fp", "_n", F.posexplode(keys).alias("_band", "_key"))
     hubs = banded.groupBy("_key").agg(F.min(F.struct("_rep", "_fp", "_n")).alias("_hub"), F.count(F.lit(1)).alias("_size")).where("_size > 1")
     hubs = checkpointed(hubs)
     members = checkpointed(banded.join(small(hubs, hubs.count()), "_key"))
@@ -246,20 +274,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labels = components(links)
     # Buckets that hold several components: every pair across them that may be linked.
     comp = F.coalesce("label", "_rep").alias("_comp")
-    placed = checkpointed(members.join(labels, members["_rep"] == labels["node"], "left").select("_key", "_rep", "_size", comp))
+    placed = checkpointed(members.join(labels, members["_rep"] == labels["node"], "left").select("_key", "_band", "_rep", "_fp", "_size", comp))
     mixed = placed.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo < _hi").select("_key")
     mixed = checkpointed(mixed)
-    rest = placed.join(small(mixed, mixed.count()), "_key").join(classes.select("_rep", "_fp", "_n", "_sig"), "_rep")
+    rest = checkpointed(placed.join(small(mixed, mixed.count()), "_key"))
+    texts = _texts(rest.select(F.col("_rep").alias("_id"), F.col("_fp").alias("_f")).distinct(), docs)
+    carried = texts.join(classes.select("_rep", "_sig"), F.col("_id") == F.col("_rep")).select("_rep", "_sig", "_text")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
     side = F.pmod(F.xxhash64("_rep"), blocks).cast("int")
     rest = rest.withColumn("_side", side).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rest = rest.withColumn("_i", F.least("_side", "_other")).withColumn("_j", F.greatest("_side", "_other"))
-    found = rest.groupBy("_key", "_i", "_j").applyInArrow(_search_block, "a long, a_fp long, b long, b_fp long").distinct()
-    found = checkpointed(found)
-    if found.limit(1).count():
-        more = checkpointed(confirmed(found, docs, percent))
-        if more.limit(1).count():
-            labels = components(labels.toDF("a", "b").union(more))
+    rest = rest.select("_key", "_band", "_i", "_j", "_rep", "_comp", "_side").join(carried, "_rep")
+    more = checkpointed(rest.groupBy("_key", "_band", "_i", "_j").applyInArrow(_search_block, "a long, b long").distinct())
+    if more.limit(1).count():
+        labels = components(labels.toDF("a", "b").union(more))
     named = classes.join(labels, classes["_rep"] == labels["node"], "left").select("_f1", "_f2", F.coalesce("label", "_rep").alias("_comp"))
     known = part.join(named, ["_f1", "_f2"]).select("doc_id", "n_shingles", F.col("_comp").alias("component_id"))
     alone = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _RNG = np.random.default_rng(20240117)
 BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -36,6 +37,21 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
+def slices(column: pa.Array, rows: int = 1000, size: int = 1_500_000) -> list[tuple[int, int]]:
+    """(start, length) of runs of at most rows texts and size bytes, or of one
+    longer text: work space is some forty times a run's bytes."""
+    if not len(column):
+        return []
+    length = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.append(0, np.cumsum(length))
+    out, at = [], 0
+    while at < len(column):
+        stop = min(at + rows, max(at + 1, int(np.searchsorted(total, total[at] + size, "right")) - 1))
+        out.append((at, stop - at))
+        at = stop
+    return out
+
+
 class Texts:
     """A chunk of texts; null counts as empty."""
 
@@ -70,9 +86,11 @@ class Texts:
 
     def hashes(self, start: np.ndarray, end: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
         n = len(self.data)
-        if len(Texts._power[0]) <= n:
-            Texts._power = (powers(BASE, n), powers(INVERSE, n))
         up, down = Texts._power
+        if len(up) <= n:
+            up, down = powers(BASE, n), powers(INVERSE, n)
+            if n <= 4_000_000:
+                Texts._power = (up, down)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(table[self.data] * up[:n], out=total[1:])
         return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
