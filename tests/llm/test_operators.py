@@ -1,0 +1,466 @@
+"""The corpus operators against plain Python, with nulls, empty and long
+texts, ties, repeated rows, empty tables and clashing extra columns."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from gridcheck.llm import (
+    chat_format,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    token_counts,
+    topk_search,
+)
+from gridcheck.llm.wordhash import Texts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+VOCAB = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(VOCAB) for _ in range(n))
+
+
+def corpus():
+    """Small, with one hot source, copies, near copies, common lines, odd texts and a very long one."""
+    rng = random.Random(5)
+    rows, k = [], itertools.count()
+    add = lambda text, source="s0", lang="en": rows.append((next(k), text, lang, source, len(text or "")))
+    base = [prose(rng, 60) for _ in range(12)]
+    for b in base:
+        for _ in range(3):
+            add("Menu | Home\n" + b)
+        words = b.split()
+        words[7] = "changed"
+        add(" ".join(words), "s1")
+        add(b.upper(), "s2")
+    for n in range(30):
+        add("\n".join([prose(rng, rng.randint(1, 25)) for _ in range(rng.randint(1, 6))] + ["  Common LINE\t"]), f"s{n % 4}")
+    for odd in ("", None, " ", "\n\n", "one", "two words", "é É\nÉ é", "a\r\nb", "日本 語\x00", "Common line"):
+        add(odd, None)
+    add(prose(rng, 20_000) + "\n" + "x" * 5000, "s3")
+    rows.append(rows[0])
+    rows.append((None, base[0], None, "s0", 3))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), DOC).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def ascii_lower(s):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), s)
+
+
+def test_line_dedup(docs, none):
+    rows = corpus()
+    held = collections.defaultdict(set)
+    for i, text, *_ in rows:
+        for line in (text or "").split("\n"):
+            held[ascii_lower(line.strip(" \t\n\x0b\x0c\r"))].add(i)
+    gone = {k for k, v in held.items() if k and len(v) >= 10}
+    want = []
+    for i, text, *_ in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if ascii_lower(x.strip(" \t\n\x0b\x0c\r")) not in gone]
+        want.append((str(i), len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    got = [(str(r[0]), *r[1:]) for r in line_dedup.digest(docs).collect()]
+    assert gone and sorted(got) == sorted(want)
+    assert line_dedup.digest(none).count() == 0
+
+
+def test_line_dedup_keeps_the_first_and_other_columns(spark):
+    rows = [(2, "b\na", "x"), (1, "a\na\nc", "y"), (3, "A ", "z"), (3, "A ", "z")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_lines string")
+    out = line_dedup.dedup_lines(df, min_docs=2, keep_first=True).select("doc_id", "kept_text", "n_lines").collect()
+    assert sorted(map(tuple, out)) == [(1, "a\nc", 3), (2, "b", 2), (3, "", 1), (3, "", 1)]
+
+
+def test_line_dedup_shuffles_no_text(docs):
+    plan = line_dedup.line_bitmaps(docs)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x and "text" in x]
+    assert not exchanges
+
+
+def parse_chat(text):
+    out, at = [], 0
+    while at < len(text):
+        head = re.compile(r"<\|(system|assistant|user:([^|]*))\|>\n").match(text, at)
+        end = text.index("<|end|>", head.end())
+        out.append((head[1].split(":")[0], head[2], text[head.end() : end].replace("<||", "<|")))
+        at = end + len("<|end|>\n")
+    return out
+
+
+def test_chat_round_trip(spark):
+    rows = [(1, 0, "system", "be <|end|> kind"), (1, 1, "ann", "hi <|"), (1, 2, "bob|>\n", None), (1, 3, "ann", "<|assistant|>\nno"), (1, 3, "ann", "<|assistant|>\nno")]
+    rows += [(2, t, "u", "x" * (t % 3)) for t in range(1200)] + [(3, 0, None, "who"), (None, 0, "ann", "lost"), (4, None, "ann", "when"), (5, 1, "system", "alone")]
+    out = chat_format.perspectives(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    by = {(r.conv_id, r.part, r.speaker): r for r in out}
+    assert sorted(by, key=str) == sorted([(1, 0, "ann"), (1, 0, "bob|>\n"), (2, 0, "u"), (2, 1, "u"), (2, 2, "u"), (4, None, "ann")], key=str)
+    ann = by[1, 0, "ann"]
+    assert parse_chat(ann.text) == [("system", None, "be <|end|> kind"), ("assistant", None, "hi <|"), ("user", "bob%7C%3E%0A", ""), ("assistant", None, "<|assistant|>\nno")]
+    spans = [tuple(map(int, s.split(":"))) for s in ann.target_spans.split()]
+    assert [ann.text[a:b] for a, b in spans] == ["hi <||<|end|>", "<||assistant|>\nno<|end|>"]
+    assert ann.n_turns == 4 and ann.n_targets == 2 and ann.target_chars == sum(b - a for a, b in spans)
+    assert by[2, 2, "u"].n_turns == 1200 - 1024
+
+
+def test_token_counts(docs, none):
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.digest(docs).collect()}
+    want = {(i, len((t or "").encode()), len(sp.encode(t or "")), len(sp.encode(t or "")) > 4096) for i, t, *_ in corpus()}
+    assert got == want
+    assert token_counts.digest(none).count() == 0
+
+
+def test_token_counts_of_random_strings():
+    import public_tokenizers
+    import sentencepiece
+
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    sp, counter, rng = sentencepiece.SentencePieceProcessor(model_file=file), token_counts.PieceCounter(file), random.Random(3)
+    parts = ["the", " ", "  ", "\n", "é", "ß", "日", "ing", "<s>", "\t", "🤷", "1", "--", "▁", "\x00", "aaaa" * 40, "tion" * 30]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(800)]
+    assert counter.count(texts) == [len(x) for x in sp.encode(texts)]
+
+
+def test_language_id(spark, none):
+    rng = random.Random(1)
+    words = {"en": ["the", "ship", "with", "thing", "when", "would"], "de": ["schiff", "und", "nicht", "wenn", "wäre", "über"], "fr": ["bateau", "où", "était", "quand", "avec", "très"]}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(rng.randint(5, 60))), lang) for i, lang in enumerate(["en", "de", "fr"] * 60)]
+    rows += [(1000, None, "en"), (1001, "12 34 !", "de"), (1002, "", "fr"), (None, "the ship", None), (1003, "日本", "en"), (1004, "wenn und nicht " * 4000, "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = {r.doc_id: r for r in language_id.digest(df).collect()}
+    assert len(out) == len(rows)
+    for i, text, lang in rows[:180]:
+        assert out[i].lang_pred == lang and out[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= out[i].score <= 1
+    assert [out[i].lang_pred for i in (1000, 1001, 1002)] == ["und"] * 3 and out[1004].lang_pred == "de" and out[None].held_out is False
+    assert language_id.digest(none).count() == 0
+
+
+def test_language_id_parses_longest_matches():
+    rng = random.Random(2)
+    samples = {k: [97 + rng.randrange(4) for _ in range(300)] for k in "xy"}
+    parser = language_id.Parser.fit(samples)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 1300))) for _ in range(20)]
+    raw, sizes, _ = language_id.symbols(texts)
+    got = parser.phrases(raw, sizes)
+    at = np.cumsum(sizes) - sizes
+    for k, lang in enumerate("xy"):
+        known = "".join(map(chr, samples[lang]))
+        for a, n, found in zip(at, sizes, got[:, k], strict=True):
+            s, phrases = "".join(map(chr, raw[a : a + n])), 0
+            for part in (s[i : i + language_id.SEGMENT] for i in range(0, len(s), language_id.SEGMENT)):
+                i = 0
+                while i < len(part):
+                    j = i + 1
+                    while j <= len(part) and part[i:j] in known:
+                        j += 1
+                    i, phrases = max(j - 1, i + 1), phrases + 1
+            assert found == phrases
+
+
+def water_level(sizes, weights, cap=3):
+    total, capped, target = sum(sizes.values()), set(), {}
+    while True:
+        rest = [k for k in sizes if k not in capped]
+        spare = total - sum(cap * sizes[k] for k in capped)
+        level = spare / sum(weights[k] for k in rest) if rest else 0
+        over = [k for k in rest if level * weights[k] > cap * sizes[k] + 1e-9]
+        if not over:
+            return {k: cap * sizes[k] if k in capped else level * weights[k] for k in sizes}
+        capped |= set(over)
+
+
+def test_mixing(docs, none, spark):
+    rows = mixing.digest(docs).collect()
+    again = mixing.digest(docs.repartition(7)).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, rows)) == sorted(map(key, again)) and len(rows) == len(corpus())
+    want = collections.Counter()
+    for _, text, _, source, _ in corpus():
+        want[source] += len(WORD.findall(text or ""))
+    order = sorted(want, key=lambda s: (s is None, s or ""))
+    target = water_level(dict(want), {s: k % 3 + 1 for k, s in enumerate(order)})
+    taken = collections.Counter()
+    for r, (i, text, _, source, _) in zip(sorted(rows, key=lambda r: str((r.doc_id, r.size))), sorted(corpus(), key=lambda r: str((r[0], len(WORD.findall(r[1] or ""))))), strict=True):
+        assert r.doc_id == i and r.size == len(WORD.findall(text or "")) and r.taken <= 3 * r.size
+        assert r.source_size == want[source] and r.target == pytest.approx(target[source])
+        taken[source] += r.taken
+    for s in want:
+        assert abs(taken[s] - target[s]) <= 64 + 0.01 * target[s]
+    assert mixing.digest(none).count() == 0
+    blank = mixing.digest(spark.createDataFrame([(1, None, "en", "a", 0), (2, " ", "en", None, 1)], DOC)).collect()
+    assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)] * 2
+
+
+def test_mixing_wide_numbers_agree(spark):
+    df = spark.range(0, 3000).select(F.col("id").alias("i"), F.lit(997).cast("long").alias("n"), (F.col("id") % 4).cast("int").alias("s"))
+    out = df.select(mixing.permuted(F.col("i"), F.col("n"), F.col("s"), False).alias("a"), mixing.permuted(F.col("i"), F.col("n"), F.col("s"), True).alias("b"))
+    assert out.where("a <> b").count() == 0
+    one = df.where("i < 997").select(mixing.permuted(F.col("i"), F.col("n"), F.lit(2), False).alias("a"))
+    assert one.distinct().count() == 997
+
+
+def test_mixed_documents(docs):
+    plan = {str((r.doc_id, r.size)): r for r in mixing.digest(docs).collect()}
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = collections.Counter()
+    texts = {str(i): t or "" for i, t, *_ in corpus()}
+    for r in out.collect():
+        assert r.n_chars == len(r.text)
+        if len(WORD.findall(r.text)) == len(WORD.findall(texts[str(r.doc_id)])):
+            assert r.text.strip() == texts[str(r.doc_id)].strip()
+        got[r.doc_id] += len(WORD.findall(r.text))
+    for i in got:
+        if i not in (0, None):
+            assert got[i] == next(r.taken for r in plan.values() if r.doc_id == i)
+
+
+def shingles(text):
+    w = WORD.findall(ascii_lower(text or ""))
+    if not w:
+        return set()
+    return {tuple(w)} if len(w) < 5 else {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+
+def test_near_dedup(docs, none):
+    rows = corpus()
+    sets = [shingles(t) for _, t, *_ in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if rows[a][0] is not None and rows[b][0] is not None and sets[a] and sets[b]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                parent[find(b)] = find(a)
+    want = []
+    for k, (i, *_) in enumerate(rows):
+        comp = i if i is None else min(rows[x][0] for x in range(len(rows)) if find(x) == find(k) and rows[x][0] is not None)
+        want.append((str(i), len(sets[k]), str(comp), i == comp))
+    got = [(str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.digest(docs).collect()]
+    assert sorted(got) == sorted(want)
+    assert near_dedup.digest(none).count() == 0
+    assert near_dedup.dedup(docs).count() == sum(w[3] for w in want)
+
+
+def test_near_dedup_closes_mixed_buckets(spark):
+    """Chains of texts, each near its neighbours only: the hub of a bucket is far from most."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(40):
+        for j in range(2):
+            words[rng.randrange(120)] = f"x{k}-{j}"
+        rows.append((100 - k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.digest(df).collect()}
+    sets, links = {i: shingles(t) for i, t in rows}, collections.defaultdict(set)
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            links[a].add(b), links[b].add(a)
+    for start in sets:
+        seen, todo = {start}, [start]
+        while todo:
+            for x in links[todo.pop()] - seen:
+                seen.add(x), todo.append(x)
+        assert got[start] == min(seen)
+
+
+def test_super_minhash_estimates_jaccard():
+    rng = np.random.default_rng(4)
+    for n, shared in ((8, 6), (60, 45), (900, 600)):
+        hits = 0
+        for _ in range(60):
+            both = rng.integers(0, 2**63, shared, dtype=np.uint64)
+            a, b = (np.sort(np.concatenate([both, rng.integers(0, 2**63, n - shared, dtype=np.uint64)])) for _ in range(2))
+            sig = near_dedup.super_minhash(np.concatenate([a, b]), np.array([n, n]))
+            hits += (sig[0] == sig[1]).sum()
+        assert hits / (60 * near_dedup.SLOTS) == pytest.approx(shared / (2 * n - shared), abs=0.03)
+
+
+def test_topk(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(700, 12)).astype(np.float32)
+    rows = [(int(i), [float(v) for v in x[i % 650]]) for i in range(700)]
+    rows += [(5000, None), (5050, [1.0, None] + [0.0] * 10), (5100, [float("nan")] * 12), (5150, []), (5200, [0.5, 0.25]), (6000, [float("inf")] * 12), (None, [0.0] * 12), rows[50]]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    q = {i: np.floor(256 * np.array(v, np.float32).astype(float)).astype(int) for i, v in rows[:700]}
+    got = collections.defaultdict(list)
+    for r in topk_search.top_k(df).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    want = {}
+    for i in range(0, 700, 50):
+        best = sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5]
+        want[i] = [(k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert {k: sorted(v) for k, v in got.items()} == want  # 5200 has no candidate of its length
+    assert topk_search.top_k(df.where("false")).count() == 0
+
+
+def test_topk_bounds_keep_ties_and_large_numbers():
+    rng = np.random.default_rng(8)
+    for scale in (2, 300, 2**30):
+        x = rng.integers(-scale, scale, (400, 6))
+        ids = np.arange(400) * 3
+        q, v, s = topk_search.bounded_top(x[:30], ids[:30], x, ids, 5)
+        full = x[:30].astype(object) @ x.T.astype(object)
+        for a in range(30):
+            best = sorted((-full[a][b], b) for b in range(400) if b != a)[:5]
+            assert [(-int(t), int(b)) for t, b in zip(s[q == a], v[q == a], strict=True)] == best
+
+
+def test_license_scan(spark):
+    text = "Intro here. Licensed under the Apache License, Version 2.0. All rights reserved.\nMIT License\nlicensed under the mit license!  You may not use this file except in compliance with the License."
+    rows = [(1, text), (2, None), (3, ""), (4, "Software licence unknown."), (5, "x. " * 20_000 + "Released under the MIT License."), (6, "GPL? " * 3 + "This work is licensed under the GNU General Public License, version 3.")]
+    out = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out[1].sentence_ids == "apache-2-ref;reserved;mit-title;mit-ref;apache-2-use"
+    assert out[1].licences == "MIT;Apache-2.0;All-Rights-Reserved" and out[1].leftover == "mit-title;apache-2-use"
+    assert [out[k].licences for k in (2, 3, 4, 5, 6)] == ["", "", "", "MIT", "GPL-3.0-only"]
+    full = ("apache-2-ref", "apache-2-use", "apache-2-copy", "apache-2-warranty", "apache-2-see")
+    by_id = {v: k for k, v in license_scan.SENTENCES.items()}
+    whole = "\n".join(by_id[i].capitalize() + "." for i in full)
+    got = license_scan.scan(spark.createDataFrame([(1, whole)], "doc_id bigint, text string")).first()
+    assert got.licences == "Apache-2.0" and got.leftover == ""
+
+
+def test_packing_covers_every_id_once(docs, none):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = packing.pack(docs).collect()
+    want = collections.Counter()
+    for i, t, *_ in corpus():
+        want[str(i), tuple(tok.encode(t or "", add_special_tokens=False).ids + [1])] += 1
+    by_doc, by_seq = collections.defaultdict(dict), collections.defaultdict(list)
+    for p in pieces:
+        ids = np.frombuffer(bytes(p.ids), "<u4")
+        assert len(ids) == p.length > 0
+        by_doc[str(p.doc_id), p.doc_tokens].setdefault(p.start, []).append(ids)
+        by_seq[p.sequence_id].append((p.offset, p.length))
+    for (i, ids), n in want.items():
+        parts = by_doc[i, len(ids)]
+        assert sum(len(x) for v in parts.values() for x in v) == n * len(ids)
+        assert all(tuple(x.tolist()) == ids[s : s + len(x)] for s, v in parts.items() for x in v)
+    for spans in by_seq.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= 2048 and (at == 2048 or at & (at - 1) == 0)
+    assert packing.pack(none).count() == 0
+    crc = {(str(r.doc_id), r.start, r.sequence_id, r.offset): r.ids_crc32 for r in packing.digest(docs).collect()}
+    assert all(crc[str(p.doc_id), p.start, p.sequence_id, p.offset] == zlib.crc32(bytes(p.ids)) for p in pieces)
+
+
+def test_packing_encodes_as_the_library_does():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path("word_bpe_49k.json")
+    tok, mine, rng = Tokenizer.from_file(file), packing.ChunkEncoder(file), random.Random(2)
+    parts = ["The", "in", " ", "\n", "É", "́", "'s", "'", "12", "...", "<|endoftext|>", "\t", "日", "\x1f", " ", "K", "İ", "Œ", "ſ", "ß", ",", "_", "|>", "ª", "\x0b"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    got = [ids.tolist() for ids in mine.encode(mine.terms(pa.array(texts)), 1)]
+    assert got == [[*e.ids, 1] for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packing_puts_neighbours_together():
+    rng = random.Random(7)
+    topics = [[f"t{k}w{j}" for j in range(40)] for k in range(4)]
+    number: dict = {}
+    docs = [np.array([number.setdefault(rng.choice(topics[k % 4]), len(number)) for _ in range(200)], np.int32) for k in range(80)]
+    order = packing.order_shard(docs, np.full(80, 201), 2048)
+    assert sorted(order.tolist()) == list(range(80))
+    same = sum(order[k] % 4 == order[k + 1] % 4 for k in range(79))
+    assert same > 70
+
+
+def base_counts(t):
+    t = t or ""
+    w = WORD.findall(t)
+    seen, dup, cover = set(), 0, set()
+    for line in t.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    n = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    for k in range(len(w) - 4):
+        if n[tuple(w[k : k + 5])] > 1:
+            cover |= set(range(k, k + 5))
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), dup, len(cover)
+
+
+def test_quality_base_counts():
+    rng = random.Random(11)
+    texts = ["", None, "\n\n", "a\n\na\na", "x " * 30, "é ü z\n\x85", "a b c d e a b c d e", "a\r\na\r\n", " \n \n"]
+    texts += ["".join(rng.choice(["a", "b ", "\n", " ", "#", "é", "|", "c d e f g ", "\t"]) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    base = quality_rules.describe(Texts(pa.array(texts))).base
+    got = list(zip(*(base[k].tolist() for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), strict=True))
+    assert got == [base_counts(t) for t in texts]
+
+
+def test_viterbi_is_the_best_labelling():
+    rng = np.random.default_rng(3)
+    crf = quality_rules.ChainCRF(rng.normal(size=4), rng.normal(size=(2, 2)))
+    sizes = np.array([1, 5, 3, 8, 1])
+    x = rng.normal(size=(int(sizes.sum()), 4))
+    got, at = crf.viterbi(x, sizes), 0
+    for n in sizes:
+        s = x[at : at + n] @ crf.weight
+        value = lambda y: sum(s[k] for k in range(n) if y[k]) + sum(crf.move[a, b] for a, b in itertools.pairwise(y))  # noqa: B023, E731
+        best = max(itertools.product((0, 1), repeat=int(n)), key=value)
+        assert value(tuple(got[at : at + n])) == pytest.approx(value(best))
+        at += n
+
+
+def test_quality_rules(spark, none):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for k in range(120):
+        good = k % 3 > 0
+        lines = [prose(rng, rng.randint(15, 30)).capitalize() + "." if good else " | ".join(rng.choice(VOCAB) + "*#" for _ in range(12)) for _ in range(4)]
+        rows.append((k, "\n".join(lines)))
+        labels.append((k, int(good), 0))
+    rows += [(500, None), (501, "few words"), (502, prose(rng, 40_000)), (None, rows[1][1])]
+    labels += [(9999, 1, 0), (3, None, None), (None, 1, 0)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept", F.lit("clash"))
+    out = {r.doc_id: r for r in quality_rules.digest(d, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    assert len(out) == len(rows)
+    assert sum(out[k].kept == (k % 3 > 0) for k in range(120)) >= 118
+    assert out[500].base_failed and out[501].base_failed and not out[500].kept
+    empty = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert quality_rules.digest(d, empty).count() == len(rows)
+    assert quality_rules.digest(none, empty).count() == 0
