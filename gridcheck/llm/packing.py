@@ -14,34 +14,34 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcheck.llm.wordhash import Texts, slices
+
 WINDOW, END = 2048, 1
-SHARD_DOCS, SHARD_TOKENS = 1024, 4_000_000
+SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
 K1, B = 1.2, 0.75
 #: Entries at which a worker forgets the chunks, and the stems and tails, that it has seen.
-CACHED, PIECES = 400_000, 800_000
-#: A stem that ends in a letter or digit, and the marks after it. Marks of which special tokens or contractions are made stay with the stem.
-_TAIL = re.compile(r"(.*[^\W_])([!#$%&()*+,\-./:;=?@\[\]^_`{}~]+)", re.DOTALL)
+CACHED, PIECES = 1_200_000, 350_000
+#: Marks that are parted from a stem that ends in a letter or digit. Those of which special tokens or contractions are made stay with
+#: the stem, as do all marks after a capital dotted I, whose lower case ends in a mark.
+MARKS = "!#$%&()*+,-./:;=?@[]^_`{}~\\"
+#: Words of precomposed Latin letters; capital dotted I, whose lower case is two characters, is none of them.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
+#: The characters by which byte-level tokenizers spell bytes: printable ones themselves, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
-class _Index(dict):
-    """Numbers new keys as they are asked for."""
-
-    def __missing__(self, key: bytes) -> int:
-        self[key] = n = len(self)
-        return n
-
-
 class ChunkEncoder:
     """Ids of a tokenizer that always parts and drops ASCII white space, and
-    parts letters and digits from other marks: each distinct chunk is taken
-    apart once, and each distinct stem or tail encoded once."""
+    parts letters and digits from other marks. Chunks are told apart by
+    64-bit hashes over whole batches; each new one is taken apart once, and
+    each new stem or tail encoded once."""
 
     def __init__(self, file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,22 +54,37 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Index()
+        self.known, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
         self.first = np.zeros(1, np.int64)
 
     def _encode(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of each chunk as 32-bit integers in a byte string, a third of the size of a list."""
-        stems, tails = [], []
-        for c in chunks:
-            m = _TAIL.fullmatch(c.decode())
-            stem, tail = m.groups() if m else (c.decode(), "")
-            # Lower case, as the tokenizer's own: only where no special token can hide.
-            stems.append(stem.lower() if stem.isascii() and stem.isalnum() else stem)
-            tails.append(tail)
+        texts = b"\n".join(chunks).decode().split("\n")
+        stems = [t.rstrip(MARKS) for t in texts]
+        tails = [t[len(s) :] for t, s in zip(texts, stems, strict=True)]
+        for k, s in enumerate(stems):
+            if s.isalpha() and s.isascii():
+                stems[k] = s.lower()
+            elif tails[k] and not (s and s[-1].isalnum() and s[-1] != "İ"):
+                stems[k], tails[k] = texts[k], ""
+            elif _LATIN.fullmatch(s):
+                # Lower case, as the tokenizer's own: only where no special token can hide.
+                stems[k] = s.lower()
         if len(self.pieces) > PIECES:
             self.pieces = {}
-        new = [x for x in {*stems, *tails} if x not in self.pieces]
+        new = []
+        model = self.tokenizer.model
+        for x in {*stems, *tails}:
+            if x in self.pieces:
+                continue
+            plain = x.isascii()
+            if (plain and x.isalpha()) or (not plain and _LATIN.fullmatch(x)):
+                # A word of precomposed lower-case letters passes the normalizer and the splitter as it is.
+                spelt = x if plain else x.encode().decode("latin-1").translate(_BYTE_CHARS)
+                self.pieces[x] = array("i", [k.id for k in model.tokenize(spelt)]).tobytes()
+            else:
+                new.append(x)
         batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for at in range(0, len(new), 10_000):
             part = new[at : at + 10_000]
@@ -77,31 +92,42 @@ class ChunkEncoder:
         get = self.pieces.__getitem__
         return [get(a) + get(b) if b else get(a) for a, b in zip(stems, tails, strict=True)]
 
-    def terms(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """The numbers of the chunks of each text; they hold until clear()."""
-        known = len(self.index)
-        get = self.index.__getitem__
-        out = []
-        for t in texts:
-            words = t.split() if t else ()
-            out.append(np.fromiter(map(get, words), np.int32, len(words)))
-        if len(self.index) > known:
-            found = self._encode(list(islice(self.index, known, None)))
+    def terms(self, column) -> list[np.ndarray]:
+        """The numbers of the chunks of each text of an Arrow string array; they hold until clear()."""
+        texts = Texts(column)
+        start, end = texts.words()
+        key, seen, back = np.unique(texts.hashes(start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, key)
+        new = np.ones(len(key), bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != key
+        if new.any():
+            data, spans = texts.data.tobytes(), zip(start[seen[new]].tolist(), end[seen[new]].tolist(), strict=True)
+            found = self._encode([data[a:b] for a, b in spans])
             sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            fresh = np.arange(len(self.known), len(self.known) + len(found), dtype=np.int32)
+            self.known, self.number = np.insert(self.known, at[new], key[new]), np.insert(self.number, at[new], fresh)
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.int32)])
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
-        return out
-
-    def encode(self, terms: np.ndarray) -> np.ndarray:
-        start = self.first[terms]
-        size = self.first[terms + 1] - start
-        total = int(size.sum())
-        return self.ids[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(total)]
+            at = np.searchsorted(self.known, key)
+        numbers = self.number[at][back] if len(key) else np.zeros(0, np.int32)
+        return np.split(numbers, np.cumsum(texts.per_text(start))[:-1]) if texts.n else []
+
+    def encode(self, terms: list[np.ndarray], end: int) -> list[np.ndarray]:
+        """The ids of each text, and end after them."""
+        flat = np.concatenate(terms) if terms else np.zeros(0, np.int32)
+        start = self.first[flat]
+        size = self.first[flat + 1] - start
+        ids = self.ids[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        each = np.fromiter(map(len, terms), np.int64, len(terms))
+        total = np.append(0, np.cumsum(size))[np.cumsum(each)]
+        with_end = np.insert(ids, total, end)
+        return np.split(with_end, (total + np.arange(1, len(terms) + 1))[:-1])
 
 
 class BM25:
     """An inverted index over the documents of a shard. Terms that one
-    document or more than half of the documents hold tell no neighbours
+    document or more than a quarter of the documents hold tell no neighbours
     apart and are left out."""
 
     def __init__(self, docs: list[np.ndarray]):
@@ -111,7 +137,7 @@ class BM25:
         pair, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + owner if n else np.zeros(0, np.int64), return_counts=True)
         term, doc = pair // max(n, 1), pair % max(n, 1)
         _, number, df = np.unique(term, return_inverse=True, return_counts=True)
-        keep = (df > 1) & (df <= max(2, n / 2))
+        keep = (df > 1) & (df <= max(2, n / 4))
         renumber = np.cumsum(keep) - 1
         used = keep[number]
         self.doc, self.term, tf = doc[used], renumber[number[used]], tf[used]
@@ -133,6 +159,16 @@ class BM25:
         return np.bincount(self.doc[at], weights=self.score[at], minlength=self.n)
 
 
+def _best_first(score: np.ndarray, found: np.ndarray, few: int = 24):
+    """found by falling score, ties in order; a few of them are sorted at first, the rest only if asked for."""
+    if len(found) > 2 * few:
+        least = np.partition(score[found], len(found) - few)[len(found) - few]
+        top = found[score[found] >= least]
+        yield from top[np.argsort(-score[top], kind="stable")]
+        found = found[score[found] < least]
+    yield from found[np.argsort(-score[found], kind="stable")]
+
+
 def order_shard(docs: list[np.ndarray], sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """The order in which the documents of a shard make up its stream."""
     n = len(docs)
@@ -156,7 +192,7 @@ def order_shard(docs: list[np.ndarray], sizes: np.ndarray, window: int = WINDOW)
         score = index.scores(seed) * unused
         last = seed
         found = np.flatnonzero(score > 0)
-        for d in found[np.argsort(-score[found], kind="stable")]:
+        for d in _best_first(score, found):
             unused[d] = False
             out.append(int(d))
             at += int(sizes[d])
@@ -231,26 +267,26 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDO
             ]
             state["next"] += len(ends)
             ids.clear(), terms.clear(), tokens.clear()
-            if len(encoder.index) > CACHED:
+            if len(encoder.known) > CACHED:
                 encoder.clear()
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
         held = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, t in zip(part.column(0).to_pylist(), encoder.terms(part.column(1).to_pylist()), strict=True):
-                    ids.append(doc_id)
-                    terms.append(t)
-                    tokens.append(np.append(encoder.encode(t), np.int32(end)))
-                    held += len(tokens[-1])
+            for at, n in slices(batch.column(1)):
+                part = batch.slice(at, n)
+                new = encoder.terms(part.column(1))
+                ids.extend(part.column(0).to_pylist())
+                terms.extend(new)
+                tokens.extend(encoder.encode(new, end))
+                held += sum(map(len, tokens[-len(new) :]))
                 if len(ids) >= SHARD_DOCS or held >= SHARD_TOKENS:
                     yield flush()
                     held = 0
         if ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
