@@ -75,7 +75,7 @@ def subtotal_tiling(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def row_kinds(wide: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """One row per printed row with its kind: total, grandtotal, subtotal or leaf, whether it stands after the Total, and components of subtotals."""
+    """One row per printed row with its kind: total, grandtotal, subtotal or leaf, whether it stands after the Total, components of subtotals, whether its section has a Grand Total, and whether it is the last of its label."""
     key = key or ["table_id", "section"]
     rows = wide.select(*key, "row_ord", "age").distinct().withColumn("age_norm", normalize_age(F.col("age")))
     tiles = subtotal_tiling(rows, key).drop("age_norm")
@@ -88,7 +88,9 @@ def row_kinds(wide: DataFrame, key: list[str] | None = None) -> DataFrame:
     )
     before = Window.partitionBy(*key).orderBy("row_ord").rowsBetween(Window.unboundedPreceding, -1)
     after = F.coalesce(F.max(F.col("age_norm") == "total").over(before), F.lit(False))
-    return rows.withColumn("kind", kind).withColumn("after_total", after)
+    within, label = Window.partitionBy(*key), Window.partitionBy(*key, "age_norm")
+    rows = rows.withColumn("kind", kind).withColumn("after_total", after)
+    return rows.withColumn("has_grand", F.max(F.col("kind") == "grandtotal").over(within)).withColumn("last", F.col("row_ord") == F.max("row_ord").over(label))
 
 
 def _terms(df: DataFrame, level: str, cid: list, coef: Column, op: str = "=", rhs=0, tol: Column | None = None) -> DataFrame:
@@ -138,14 +140,11 @@ def vertical(long: DataFrame, kinds: DataFrame, proportional: bool = False) -> D
 
 def subtotals(long: DataFrame, kinds: DataFrame, proportional: bool = False) -> DataFrame:
     """L2S: a subtotal is the sum of the rows that tile it; a Grand Total that of Total and the rows after it."""
-    tiled = kinds.where("components IS NOT NULL").select("table_id", "section", F.col("age_norm").alias("_sub"), "components")
-    grand = kinds.where("kind = 'total' OR (kind = 'leaf' AND after_total)").groupBy("table_id", "section").agg(F.collect_list("age_norm").alias("components"))
-    grand = grand.join(kinds.where("kind = 'grandtotal'").select("table_id", "section").distinct(), ["table_id", "section"])
-    both = tiled.unionByName(grand.where(F.size("components") > 1).withColumn("_sub", F.lit("grandtotal")))
-    member = both.select("table_id", "section", "_sub", F.explode(F.concat(F.array("_sub"), "components")).alias("age_norm"), F.size("components").alias("_n")).distinct()
+    member = subtotal_members(kinds).select("table_id", "section", "age_norm", F.explode("subs").alias("_m"))
     placed = last_wins(long, ["table_id", "section", "grp", "col", "age_norm"]).join(member, ["table_id", "section", "age_norm"])
-    tol = F.col("_n") if proportional else None
-    return _terms(placed, "L2S", ["section", "grp", "col", "_sub"], F.when(F.col("age_norm") == F.col("_sub"), 1).otherwise(-1), tol=tol)
+    placed = placed.withColumn("_sub", F.col("_m.sub"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("table_id", "section", "grp", "col", "_sub")) - 1
+    return _terms(placed, "L2S", ["section", "grp", "col", "_sub"], F.col("_m.coef"), tol=n if proportional else None)
 
 
 def active(totals: DataFrame, by: list[str]) -> DataFrame:
@@ -190,16 +189,52 @@ def known_totals(long: DataFrame, known: DataFrame) -> DataFrame:
     return _terms(long.join(known, ["age_norm", "col"]), "KT", ["section", "row_ord", "grp", "col"], F.lit(1), rhs=F.col("expected"))
 
 
+def subtotal_members(kinds: DataFrame) -> DataFrame:
+    """(table_id, section, age_norm, subs): the subtotals that a label enters, each with its coefficient. A Grand Total is that of Total and the rows after it."""
+    tiled = kinds.where("components IS NOT NULL").select("table_id", "section", F.col("age_norm").alias("_sub"), "components")
+    grand = kinds.where("has_grand AND (kind = 'total' OR (kind = 'leaf' AND after_total))").groupBy("table_id", "section").agg(F.collect_list("age_norm").alias("components"))
+    both = tiled.unionByName(grand.where(F.size("components") > 1).withColumn("_sub", F.lit("grandtotal")))
+    member = both.select("table_id", "section", "_sub", F.explode(F.array_distinct(F.concat(F.array("_sub"), "components"))).alias("age_norm"))
+    coef = F.when(F.col("age_norm") == F.col("_sub"), 1).otherwise(-1)
+    return member.groupBy("table_id", "section", "age_norm").agg(F.collect_list(F.struct(F.col("_sub").alias("sub"), coef.alias("coef"))).alias("subs"))
+
+
 def incidence(wide: DataFrame, first_group: str = "ALL", first_section: str = "ALL", persons_independent: bool = False) -> DataFrame:
-    """All constraints of the tables of wide."""
-    long, kinds = cells(wide), row_kinds(wide)
-    parts = [non_negative(long), vertical(long, kinds), subtotals(long, kinds)]
+    """All constraints of the tables of wide, in one pass over their cells.
+
+    Each cell is joined to its row's kind and its table's active cross
+    checks, both small, and unfolds into its memberships. Constraints that
+    lack a side (no Total, no parts) are left to evaluate(), which doesn't
+    count them.
+    """
+    kinds = row_kinds(wide)
+    kinds = kinds.join(subtotal_members(kinds), ["table_id", "section", "age_norm"], "left")
+    long = cells(wide).join(kinds.select("table_id", "section", "row_ord", "kind", "after_total", "has_grand", "last", "subs"), ["table_id", "section", "row_ord"])
+    member = []
+
+    def enter(level: str, when: Column, cid: list, coef: Column, op: str = "=") -> None:
+        name = F.concat_ws("|", F.lit(level), *[F.col(c).cast("string") for c in cid])
+        member.append(F.when(when, F.struct(name.alias("cid"), F.lit(level).alias("level"), coef.cast("bigint").alias("coef"), F.lit(op).alias("op"))))
+
+    leaf = (F.col("kind") == "leaf") & ~(F.col("has_grand") & F.col("after_total"))
+    enter("L5", F.col("value").isNotNull(), ["section", "row_ord", "grp", "col"], F.lit(1), ">=")
+    enter("L2", F.col("last") & ((F.col("kind") == "total") | leaf), ["section", "grp", "col"], F.when(F.col("kind") == "total", 1).otherwise(-1))
     if not persons_independent:
-        parts += [row_balance(long), cross_group(long, first_group), cross_section(long, first_section)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        totals = cells(wide.where(normalize_age(F.col("age")) == "total"))
+        on = active(totals.withColumn("first", F.col("grp") == first_group), ["section", "col"]).withColumn("_l3", F.lit(True))
+        on4 = active(totals.withColumn("first", F.col("section") == first_section), ["grp", "col"]).withColumn("_l4", F.lit(True))
+        long = long.join(on, "table_id", "left").join(on4, "table_id", "left")
+        enter("L1", F.lit(True), ["section", "row_ord", "grp"], F.when(F.col("col") == "persons", 1).otherwise(-1))
+        enter("L3", F.col("_l3"), ["section", "row_ord", "col"], F.when(F.col("grp") == first_group, 1).otherwise(-1))
+        enter("L4", F.col("_l4") & F.col("last"), ["age_norm", "grp", "col"], F.when(F.col("section") == first_section, 1).otherwise(-1))
+    subs = F.transform(
+        F.when(F.col("last"), F.col("subs")),
+        lambda s: F.struct(F.concat_ws("|", F.lit("L2S"), "section", "grp", "col", s["sub"]).alias("cid"), F.lit("L2S").alias("level"), s["coef"].cast("bigint").alias("coef"), F.lit("=").alias("op")),
+    )
+    found = F.filter(F.concat(F.array(*member), F.coalesce(subs, F.filter(F.array(*member), lambda _: F.lit(False)))), lambda m: m.isNotNull())
+    each = long.select("table_id", "section", "row_ord", "age_norm", "grp", "col", "value", F.explode(found).alias("_m"))
+    zero = F.lit(0).cast("bigint")
+    return each.select("table_id", "_m.cid", "_m.level", "section", "row_ord", "age_norm", "grp", "col", "_m.coef", "value", "_m.op", zero.alias("rhs"), zero.alias("tol"))
 
 
 def evaluate(terms: DataFrame) -> DataFrame:
@@ -210,10 +245,14 @@ def evaluate(terms: DataFrame) -> DataFrame:
         F.min("op").alias("_op"),
         F.min("rhs").alias("_rhs"),
         F.min("tol").alias("_tol"),
+        F.max("coef").alias("_plus"),
+        F.min("coef").alias("_minus"),
     )
     diff = F.col("_lhs") - F.col("_rhs")
     passed = F.when(F.col("_op") == "=", F.abs(diff) <= F.col("_tol")).otherwise(diff >= 0)
-    return sums.where("_nulls = 0").select("table_id", "cid", "level", diff.alias("diff"), passed.alias("passed"))
+    # A sum needs both of its sides; signs and known totals have one.
+    sums = sums.where("_nulls = 0 AND (level IN ('L5', 'KT') OR (_plus > 0 AND _minus < 0))")
+    return sums.select("table_id", "cid", "level", diff.alias("diff"), passed.alias("passed"))
 
 
 def reevaluate(long: DataFrame, terms: DataFrame) -> DataFrame:

@@ -47,6 +47,8 @@ class Board:
             self.rule[cid] = (op, rhs, tol)
         self.residual = {}
         for cid, cells in self.members.items():
+            if cid.split("|")[0] not in ("L5", "KT") and len({k > 0 for _, k in cells}) < 2:
+                continue
             values = [(self.value[c], k) for c, k in cells]
             if all(v is not None for v, _ in values):
                 self.residual[cid] = sum(k * v for v, k in values) - self.rule[cid][1]

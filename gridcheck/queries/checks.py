@@ -47,13 +47,6 @@ def filled(spark, d):
     return c.with_persons(t.obs(spark, d)).select(*t.KEYS, *t.COLS)
 
 
-def _level(level):
-    def query(spark, d):
-        return c.evaluate(c.incidence(t.obs(spark, d)).where(F.col("level") == level))
-
-    return query
-
-
 def verify_l1(spark, d):
     return c.evaluate(c.row_balance(c.cells(t.obs(spark, d))))
 
