@@ -43,8 +43,13 @@ def _nth(rows: DataFrame, key: list[str], order: Column) -> DataFrame:
 
 
 def subtotal_tiling(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Of rows (key, row_ord, age_norm): those of width above 1 that two or
-    more ranges right before them tile exactly, with the array components.
+    """Of rows (key, row_ord, age_norm): those that other rows tile, with the array components."""
+    return _tiled(rows, key).where("components IS NOT NULL").select(*key, "row_ord", "age_norm", "components")
+
+
+def _tiled(rows: DataFrame, key: list[str]) -> DataFrame:
+    """rows with components: the two or more ranges right before a range of
+    width above 1 that tile it exactly, else null.
 
     The walk back from a row stops at a label that is no range, at an end
     that doesn't meet, and at an exact fit; it is a fold over the earlier
@@ -69,17 +74,16 @@ def subtotal_tiling(rows: DataFrame, key: list[str]) -> DataFrame:
 
     start = F.struct(F.col("_hi").alias("at"), F.lit(0).alias("n"), F.lit(False).alias("stop"), F.lit(False).alias("hit"))
     fold = F.aggregate(F.reverse("_before"), start, step)
-    walked = walked.where((F.col("_hi") - F.col("_lo")) > 1).withColumn("_fold", fold).where("_fold.hit")
+    walked = walked.withColumn("_fold", F.when((F.col("_hi") - F.col("_lo")) > 1, fold))
     names = F.transform(F.slice("_before", -F.col("_fold.n"), F.col("_fold.n")), lambda r: r["name"])
-    return walked.select(*key, "row_ord", "age_norm", names.alias("components"))
+    return walked.select(*rows.columns, F.when(F.col("_fold.hit"), names).alias("components"))
 
 
 def row_kinds(wide: DataFrame, key: list[str] | None = None) -> DataFrame:
     """One row per printed row with its kind: total, grandtotal, subtotal or leaf, whether it stands after the Total, components of subtotals, whether its section has a Grand Total, and whether it is the last of its label."""
     key = key or ["table_id", "section"]
     rows = wide.select(*key, "row_ord", "age").distinct().withColumn("age_norm", normalize_age(F.col("age")))
-    tiles = subtotal_tiling(rows, key).drop("age_norm")
-    rows = rows.join(tiles, [*key, "row_ord"], "left")
+    rows = _tiled(rows, key)
     kind = (
         F.when(F.col("age_norm") == "total", "total")
         .when(F.col("age_norm") == "grandtotal", "grandtotal")
@@ -147,36 +151,37 @@ def subtotals(long: DataFrame, kinds: DataFrame, proportional: bool = False) ->
     return _terms(placed, "L2S", ["section", "grp", "col", "_sub"], F.col("_m.coef"), tol=n if proportional else None)
 
 
-def active(totals: DataFrame, by: list[str]) -> DataFrame:
-    """Tables whose first part is the sum of the others on total rows: of
-    totals (table_id, by, first, value), all within max(0.1 %, 10) and three
-    quarters exact."""
-    sums = totals.groupBy("table_id", *by).agg(
+def active(totals: DataFrame, sides: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """Whether the first part of a table is the sum of the others on total
+    rows, all within max(0.1 %, 10) and three quarters exact: a row per
+    table_id with a boolean for each of sides, name to (column that tells the
+    parts, its first value, column beside which the test is made)."""
+    ways = [F.struct(F.lit(n).alias("side"), F.col(by).alias("by"), (F.col(part) == first).alias("first")) for n, (part, first, by) in sides.items()]
+    each = totals.select("table_id", "col", "value", F.explode(F.array(*ways)).alias("_w")).select("table_id", "col", "value", "_w.*")
+    sums = each.groupBy("table_id", "side", "by", "col").agg(
         F.max(F.when(F.col("first"), F.col("value"))).alias("_v"),
         F.sum(F.when(~F.col("first"), F.col("value"))).alias("_s"),
         F.count_if(F.col("value").isNull()).alias("_nulls"),
         F.count_if(~F.col("first")).alias("_others"),
     )
     sums = sums.where("_nulls = 0 AND _v IS NOT NULL AND _others > 0").withColumn("_d", F.abs(F.col("_v") - F.col("_s")))
-    rated = sums.groupBy("table_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("_d") == 0).alias("exact"),
-        F.count_if(F.col("_d") <= F.greatest(F.col("_v") * 0.001, F.lit(10.0))).alias("close"),
+    close = F.col("_d") <= F.greatest(F.col("_v") * 0.001, F.lit(10.0))
+    on = lambda n: (
+        F.coalesce(F.bool_and(F.when(F.col("side") == n, close)), F.lit(False))
+        & (F.count_if((F.col("side") == n) & (F.col("_d") == 0)) * 4 >= F.count_if(F.col("side") == n) * 3)
     )
-    return rated.where("close = n AND exact * 4 >= n * 3").select("table_id")
+    return sums.groupBy("table_id").agg(*[on(n).alias(n) for n in sides])
 
 
 def cross_group(long: DataFrame, first: str = "ALL") -> DataFrame:
     """L3: the first group is the sum of the others, if the total rows say so."""
-    totals = long.where("age_norm = 'total'").withColumn("first", F.col("grp") == first)
-    on = active(totals, ["section", "col"])
+    on = active(long.where("age_norm = 'total'"), {"on": ("grp", first, "section")}).where("on")
     return _terms(long.join(on, "table_id", "left_semi"), "L3", ["section", "row_ord", "col"], F.when(F.col("grp") == first, 1).otherwise(-1))
 
 
 def cross_section(long: DataFrame, first: str = "ALL") -> DataFrame:
     """L4: the first section is the sum of the others, label by label, if the total rows say so."""
-    totals = long.where("age_norm = 'total'").withColumn("first", F.col("section") == first)
-    on = active(totals, ["grp", "col"])
+    on = active(long.where("age_norm = 'total'"), {"on": ("section", first, "grp")}).where("on")
     last = last_wins(long, ["table_id", "section", "grp", "col", "age_norm"]).join(on, "table_id", "left_semi")
     # A label that the first section or all others lack makes no check.
     w = Window.partitionBy("table_id", "age_norm", "grp", "col")
@@ -191,12 +196,14 @@ def known_totals(long: DataFrame, known: DataFrame) -> DataFrame:
 
 def subtotal_members(kinds: DataFrame) -> DataFrame:
     """(table_id, section, age_norm, subs): the subtotals that a label enters, each with its coefficient. A Grand Total is that of Total and the rows after it."""
-    tiled = kinds.where("components IS NOT NULL").select("table_id", "section", F.col("age_norm").alias("_sub"), "components")
-    grand = kinds.where("has_grand AND (kind = 'total' OR (kind = 'leaf' AND after_total))").groupBy("table_id", "section").agg(F.collect_list("age_norm").alias("components"))
-    both = tiled.unionByName(grand.where(F.size("components") > 1).withColumn("_sub", F.lit("grandtotal")))
-    member = both.select("table_id", "section", "_sub", F.explode(F.array_distinct(F.concat(F.array("_sub"), "components"))).alias("age_norm"))
+    section = Window.partitionBy("table_id", "section")
+    under_grand = (F.col("kind") == "total") | ((F.col("kind") == "leaf") & F.col("after_total"))
+    grand = F.collect_list(F.when(under_grand, F.col("age_norm"))).over(section)
+    grand = F.when((F.col("kind") == "grandtotal") & (F.size(grand) > 1), grand)
+    subs = kinds.select("table_id", "section", F.col("age_norm").alias("_sub"), F.coalesce("components", grand).alias("_parts")).where("_parts IS NOT NULL")
+    member = subs.select("table_id", "section", "_sub", F.explode(F.array_distinct(F.concat(F.array("_sub"), "_parts"))).alias("age_norm"))
     coef = F.when(F.col("age_norm") == F.col("_sub"), 1).otherwise(-1)
-    return member.groupBy("table_id", "section", "age_norm").agg(F.collect_list(F.struct(F.col("_sub").alias("sub"), coef.alias("coef"))).alias("subs"))
+    return member.groupBy("table_id", "section", "age_norm").agg(F.collect_set(F.struct(F.col("_sub").alias("sub"), coef.alias("coef"))).alias("subs"))
 
 
 def incidence(wide: DataFrame, first_group: str = "ALL", first_section: str = "ALL", persons_independent: bool = False) -> DataFrame:
@@ -221,9 +228,8 @@ def incidence(wide: DataFrame, first_group: str = "ALL", first_section: str = "A
     enter("L2", F.col("last") & ((F.col("kind") == "total") | leaf), ["section", "grp", "col"], F.when(F.col("kind") == "total", 1).otherwise(-1))
     if not persons_independent:
         totals = cells(wide.where(normalize_age(F.col("age")) == "total"))
-        on = active(totals.withColumn("first", F.col("grp") == first_group), ["section", "col"]).withColumn("_l3", F.lit(True))
-        on4 = active(totals.withColumn("first", F.col("section") == first_section), ["grp", "col"]).withColumn("_l4", F.lit(True))
-        long = long.join(on, "table_id", "left").join(on4, "table_id", "left")
+        on = active(totals, {"_l3": ("grp", first_group, "section"), "_l4": ("section", first_section, "grp")})
+        long = long.join(on, "table_id", "left")
         enter("L1", F.lit(True), ["section", "row_ord", "grp"], F.when(F.col("col") == "persons", 1).otherwise(-1))
         enter("L3", F.col("_l3"), ["section", "row_ord", "col"], F.when(F.col("grp") == first_group, 1).otherwise(-1))
         enter("L4", F.col("_l4") & F.col("last"), ["age_norm", "grp", "col"], F.when(F.col("section") == first_section, 1).otherwise(-1))
