@@ -17,9 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    """A-Z in lower case, nothing else changed. lower() has a byte-wise path
-    for ASCII; translate(), several times slower, is kept for the rest."""
-    return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
+    """A-Z in lower case, nothing else changed. lower() does the same to a
+    text whose other characters are lower-case letters; translate(), several
+    times slower, is kept for the rest."""
+    others = c.rlike(r"[\x{80}-\x{10FFFF}&&[^\p{Ll}]]")
+    plain = (F.octet_length(c) == F.length(c)) | ~others
+    return F.when(plain, F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
 
 
 def free_name(df: DataFrame, *names: str) -> list[str]:
@@ -34,6 +37,25 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of whole texts are held in the JVM and in Python at once; at most so many rows go into one."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
+def trim() -> None:
+    """Give what a task has freed back to the system; workers live on, next to others, on the memory of one executor."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """Apply a batch function to the texts of docs, partition by partition.
 
@@ -70,8 +92,9 @@ def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str =
                 out = [c if c.type == t else c.cast(t) for c, t in zip(batch.columns[:n], types, strict=False)]
                 out += [pa.array(x, type=t) for x, t in zip(found, types[n:], strict=True)]
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
-        pa.default_memory_pool().release_unused()
+        trim()
 
+    bounded_batches(docs.sparkSession)
     return source.mapInArrow(run, schema)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import SPACES, UPPER, ascii_lower, free_name
+from gridcheck.llm.common import SPACES, UPPER, ascii_lower, checkpointed, free_name, small
 
 KEY = ["_h1", "_h2"]
 
@@ -51,10 +51,11 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
         .agg(F.count(F.lit(1)).alias("_docs"), F.min(F.struct("doc_id", "_fp", "_pos")).alias("_first"))
         .where(F.col("_docs") >= min_docs)
     )
+    # A table of its own: its size decides on a broadcast, and beyond that both sides of the join are plain exchanges, which Spark can split where a key is hot.
+    found = checkpointed(found if keep_first else found.select(*KEY))
+    hits = lines.join(small(found, found.count()), KEY, "inner" if keep_first else "left_semi")
     if keep_first:
-        hits = dealt.join(found, KEY).where(~F.struct("doc_id", "_fp", "_pos").eqNullSafe(F.col("_first")))
-    else:
-        hits = dealt.join(found.select(*KEY), KEY, "left_semi")
+        hits = hits.where(~F.struct("doc_id", "_fp", "_pos").eqNullSafe(F.col("_first")))
     words = hits.groupBy("doc_id", "_fp", F.shiftright("_pos", 6).alias("_word")).agg(
         F.bit_or(F.expr("shiftleft(1L, _pos & 63)")).alias("_bits")
     )
