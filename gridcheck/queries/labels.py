@@ -238,7 +238,7 @@ def crops(spark, d):
 CROP_SQL = """WITH p AS (SELECT p_partkey, p_size / 100 AS l, p_size / 100 + 0.25 AS r, p_partkey % 3 > 0 AND p_size / 100 > 0.10 AS comp FROM part),
 q AS (SELECT *, least(1.0, r + CASE WHEN comp THEN 0.03 ELSE 0.10 END) AS w FROM p)
 SELECT p_partkey, round(CASE WHEN w < 0.98 THEN w WHEN comp THEN 1.0 ELSE -1.0 END, 6) AS right_frac,
-round(CASE WHEN comp THEN greatest(0.0, l - 0.02) ELSE -1.0 END, 6) AS left_frac, CASE WHEN comp THEN 0.15 ELSE -1.0 END AS label_right_frac FROM q"""
+round(CASE WHEN comp THEN greatest(0.0, l - 0.02) ELSE -1.0 END, 6) AS left_frac, CAST(CASE WHEN comp THEN 0.15 ELSE -1.0 END AS DOUBLE) AS label_right_frac FROM q"""
 
 
 QUERIES = [
