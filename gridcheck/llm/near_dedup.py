@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import checkpointed, map_texts, small
+from gridcheck.llm.common import bounded_batches, checkpointed, map_texts, small, trim
 from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, slices, windows
 
 SHINGLE, PERCENT = 5, 75
@@ -175,7 +175,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
                     if 100 * both_ >= percent * (len(x) + len(y) - both_) and len(x):
                         keep.append(k)
                 yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([b[k] for k in keep], pa.int64())], names=["a", "b"])
+        trim()
 
+    bounded_batches(docs.sparkSession)
     return both.mapInArrow(run, "a long, b long")
 
 
@@ -203,6 +205,7 @@ def _search_block(key, table):
     rep, comp, side = (table[c].to_numpy() for c in ("_rep", "_comp", "_side"))
     bands = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, BANDS, ROWS)
     sets, n = bounded_sets(pa.concat_arrays(table["_text"].chunks))
+    table = None
     first = np.append(0, np.cumsum(n))
     _, number = np.unique(sets, return_inverse=True)
     held = np.append(0, np.cumsum(np.bincount(number)))

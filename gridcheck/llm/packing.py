@@ -19,13 +19,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridcheck.llm.common import bounded_batches, trim
 from gridcheck.llm.wordhash import Texts, slices
 
 WINDOW, END = 2048, 1
 SHARD_DOCS, SHARD_TOKENS = 1024, 2_000_000
 K1, B = 1.2, 0.75
-#: Entries at which a worker forgets the chunks, and the stems and tails, that it has seen.
-CACHED, PIECES = 1_200_000, 350_000
+#: Entries at which a task forgets the chunks, and the stems and tails, that it has seen.
+CACHED, PIECES = 800_000, 250_000
 #: Marks that are parted from a stem that ends in a letter or digit. Those of which special tokens or contractions are made stay with
 #: the stem, as do all marks after a capital dotted I, whose lower case ends in a mark.
 MARKS = "!#$%&()*+,-./:;=?@[]^_`{}~\\"
@@ -34,7 +35,6 @@ _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
 #: The characters by which byte-level tokenizers spell bytes: printable ones themselves, the others from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
 class ChunkEncoder:
@@ -236,8 +236,7 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDO
         from pyspark import TaskContext
 
         file = tokenizer_file or public_tokenizers.path("word_bpe_49k.json")
-        encoder = _ENCODERS.get(file) or ChunkEncoder(file)  # a worker keeps what it knows for its next task
-        _ENCODERS[file] = encoder
+        encoder = ChunkEncoder(file)  # of this task alone: a worker that goes on to other stages holds none of it
         context = TaskContext.get()
         state = {"next": (context.partitionId() if context else 0) << 32}
         ids: list[int | None] = []
@@ -285,7 +284,9 @@ def pack(docs: DataFrame, tokenizer_file: str | None = None, window: int = WINDO
                     held = 0
         if ids:
             yield flush()
+        trim()
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
