@@ -126,9 +126,11 @@ class ChunkEncoder:
 
 
 class BM25:
-    """An inverted index over the documents of a shard. Terms that one
-    document or more than a quarter of the documents hold tell no neighbours
-    apart and are left out."""
+    """An inverted index over the documents of a shard. Terms of one document
+    have no neighbours to find and are left out. Those that more than a
+    quarter of the documents hold have a dense row of scores instead of
+    postings; the rows together hold at most four times the postings that
+    they stand for."""
 
     def __init__(self, docs: list[np.ndarray]):
         n = len(docs)
@@ -137,26 +139,33 @@ class BM25:
         pair, tf = np.unique(np.concatenate(docs).astype(np.int64) * n + owner if n else np.zeros(0, np.int64), return_counts=True)
         term, doc = pair // max(n, 1), pair % max(n, 1)
         _, number, df = np.unique(term, return_inverse=True, return_counts=True)
-        keep = (df > 1) & (df <= max(2, n / 4))
-        renumber = np.cumsum(keep) - 1
-        used = keep[number]
-        self.doc, self.term, tf = doc[used], renumber[number[used]], tf[used]
-        df = df[keep]
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * length / max(length.mean() if n else 1, 1e-9))
-        self.score = (idf[self.term] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
-        self.first = np.append(0, np.cumsum(df)).astype(np.int64)
-        by_doc = np.argsort(self.doc, kind="stable")
-        self.doc_terms = self.term[by_doc]
-        self.doc_first = np.append(0, np.cumsum(np.bincount(self.doc, minlength=n)))
+        score = (idf[number] * tf * (K1 + 1) / (tf + norm[doc])).astype(np.float32)
+        common = df > max(2, n / 4)
+        dense = common[number]
+        at = (np.cumsum(common) - 1)[number[dense]]
+        self.rows = np.zeros((int(common.sum()), n), np.float32)
+        self.rows[at, doc[dense]] = score[dense]
+        self.doc_rows, self.doc_rows_first = self._by_doc(doc[dense], at, n)
+        keep = (df > 1) & ~common
+        used = keep[number]
+        self.doc, self.score = doc[used], score[used]
+        self.first = np.append(0, np.cumsum(df[keep])).astype(np.int64)
+        self.doc_terms, self.doc_first = self._by_doc(self.doc, (np.cumsum(keep) - 1)[number[used]], n)
         self.n = n
 
+    @staticmethod
+    def _by_doc(doc: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        return term[np.argsort(doc, kind="stable")], np.append(0, np.cumsum(np.bincount(doc, minlength=n)))
+
     def scores(self, seed: int) -> np.ndarray:
         terms = self.doc_terms[self.doc_first[seed] : self.doc_first[seed + 1]]
         start = self.first[terms]
         size = self.first[terms + 1] - start
         at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return np.bincount(self.doc[at], weights=self.score[at], minlength=self.n)
+        rows = self.doc_rows[self.doc_rows_first[seed] : self.doc_rows_first[seed + 1]]
+        return np.bincount(self.doc[at], weights=self.score[at], minlength=self.n) + self.rows[rows].sum(axis=0, dtype=np.float64)
 
 
 def _best_first(score: np.ndarray, found: np.ndarray, few: int = 24):

@@ -408,6 +408,26 @@ def test_packing_puts_neighbours_together():
     assert same > 70
 
 
+def test_packing_scores_terms_that_many_documents_hold():
+    rng = np.random.default_rng(3)
+    shared = np.arange(50, dtype=np.int32)
+    # Every third document is a copy of one text, whose terms no other document has; the others are of words of their own and a few common ones.
+    docs = [shared if k % 3 == 0 else np.append(rng.integers(0, 40, 5) + 100, np.arange(20) + 1000 + 20 * k).astype(np.int32) for k in range(60)]
+    index = packing.BM25(docs)
+    n, mean = len(docs), sum(map(len, docs)) / len(docs)
+    tf = [collections.Counter(d.tolist()) for d in docs]
+    df = collections.Counter(t for c in tf for t in c)
+    for seed in (0, 1, 2, 59):
+        got = index.scores(seed)
+        for d in range(n):
+            parts = [np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf[d][t] * 2.2 / (tf[d][t] + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean)) for t in tf[seed] if df[t] > 1]
+            assert got[d] == pytest.approx(sum(parts), rel=1e-5)
+    order = packing.order_shard(docs, np.full(60, 100), 2000).tolist()
+    assert {d % 3 for d in order[:20]} == {0}
+    few = [np.array([1, 2, 3, k + 10], np.int32) for k in range(8)]  # a small last shard
+    assert (packing.BM25(few).scores(0) > 0).all()
+
+
 def base_counts(t):
     t = t or ""
     w = WORD.findall(t)
