@@ -1,11 +1,14 @@
 """Licence scans by sentence rules, DataFrame operations only.
 
-A text falls apart into sentences, at line ends and after . ! or ? before
-white space. A sentence that looks like one of a licence is normalised and
-mapped to the identifier of a known licence sentence; the identifiers of a
-text, in order, are then matched against an ordered list of rules. A rule is
-a run of identifiers; what it matches is used up, so a longer rule placed
-before a shorter one wins. Nothing is shuffled.
+A text falls apart into sentences, after . ! or ? before white space and at
+lines without an ASCII letter or digit. Any other line end may end a sentence
+or be white space within it, comment marks and all: a known licence sentence
+is found where it makes up a run of whole lines, or of such lines and the
+parts of lines before and after them; of those that begin at one place the
+longest counts, and what it covers is used up. The identifiers of a text, in
+order, are then matched against an ordered list of rules. A rule is a run of
+identifiers; what it matches is used up, so a longer rule placed before a
+shorter one wins. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -85,14 +88,33 @@ RULES = [
     ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("reserved",)),
 ]
-#: Every known sentence holds one of these words; others need no normalising.
+#: Every known sentence holds one of these words; texts without any need no normalising.
 HINT = "(?i)licen|permi|software|redistribut|rights|warrant"
-BREAKS = r"\n|(?<=[.!?])[\x20\x09-\x0D]+"
-
-
-def normal(sentence: Column) -> Column:
-    """Lower case, with each run of what is no ASCII letter or digit as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+#: Marks for the end of a sentence and for a line end that may be within one.
+STOP, LINE = "\x01", "\x02"
+#: A known sentence between marks, the longest first.
+KNOWN = (
+    f"(?<=[{STOP}{LINE}])(?:"
+    + "|".join(s.replace(" ", f"[ {LINE}]") for s in sorted(SENTENCES, key=len, reverse=True))
+    + f")(?=[{STOP}{LINE}])"
+)
+
+
+def normal(text: Column) -> Column:
+    """Lower case, with each run of what is no ASCII letter or digit as one space, or as the mark of the break it holds; a mark at both ends."""
+    steps = [
+        (f"[{STOP}{LINE}]", "-"),
+        (r"(?<=[.!?])[\x20\x09-\x0D]+", STOP),
+        (r"\n[^a-z0-9\n]*(?=\n)", STOP),
+        (r"\n", LINE),
+        (f"[^a-z0-9{STOP}{LINE}]+", " "),
+        (f"[ {STOP}{LINE}]*{STOP}[ {STOP}{LINE}]*", STOP),
+        (f" ?{LINE} ?", LINE),
+    ]
+    out = F.lower(text)
+    for pattern, by in steps:
+        out = F.regexp_replace(out, pattern, by)
+    return F.concat(F.lit(STOP), F.trim(out), F.lit(STOP))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -107,9 +129,8 @@ def scan(docs: DataFrame) -> DataFrame:
     new = ["n_known", "sentence_ids", "licences", "leftover"]
     kept = [c for c in docs.columns if c not in new]
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(SENTENCES.items())])
-    # The sentence ends of the licences themselves stand inside ordinary sentences, too; a hint sorts those out cheaply.
-    likely = F.filter(F.split(F.col("text"), BREAKS), lambda s: s.rlike(HINT))
-    ids = F.filter(F.transform(likely, lambda s: F.try_element_at(known, normal(s))), lambda i: i.isNotNull())
+    found = F.regexp_extract_all(normal(F.col("text")), F.lit(KNOWN), F.lit(0))
+    ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, LINE, " ")))
     rows = docs.select(*kept, F.when(F.col("text").rlike(HINT), ids).otherwise(F.array().cast("array<string>")).alias("_ids"))
     rows = rows.withColumn("_ids", F.coalesce("_ids", F.array().cast("array<string>")))
     used = lambda state, rule: F.struct(

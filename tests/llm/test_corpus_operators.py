@@ -355,6 +355,49 @@ def test_license_scan(spark):
     assert got.licences == "Apache-2.0" and got.leftover == ""
 
 
+def test_license_scan_of_wrapped_texts(spark):
+    import textwrap
+
+    by_id = {v: k for k, v in license_scan.SENTENCES.items()}
+    rows, want = [], []
+    for name, ids in license_scan.RULES:
+        paragraphs = [by_id[i].capitalize() + ("" if i.endswith("title") else ".") for i in ids]
+        for width, mark, gap in ((70, "", "\n\n"), (40, "# ", "\n#\n"), (76, " * ", "\n *\n"), (50, "// ", "\n"), (60, "", "\r\n\r\n")):
+            rows.append((len(rows), gap.join(textwrap.fill(p, width, initial_indent=mark, subsequent_indent=mark) for p in paragraphs)))
+            want.append((name, ";".join(ids)))
+        rows.append((len(rows), textwrap.fill("Some words before. " + "  ".join(paragraphs) + " And after.", 72)))
+        want.append((name, ";".join(ids)) if not ids[0].endswith("title") else None)
+    mit = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+    rows.append((len(rows), mit))
+    want.append(("MIT", "mit-title;mit-grant;mit-notice;mit-warranty;mit-liability"))
+    # Blank lines part sentences, and a known one ends where a line or a sentence does.
+    rows += [(len(rows), "Released under\n\nthe MIT\n\nLicense"), (len(rows) + 1, "Released under the MIT\nLicense or so"), (len(rows) + 2, "a\n" * 30_000 + "\n" * 30_000 + "All\nrights\nreserved")]
+    want += [("", ""), ("", ""), ("All-Rights-Reserved", "reserved")]
+    got = {r.doc_id: (r.licences, r.sentence_ids) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [(rows[k][1], got[k]) for k in range(len(rows)) if want[k] and got[k] != want[k]] == []
+
+
 def test_packing_covers_every_id_once(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
