@@ -89,7 +89,7 @@ RULES = [
     ("All-Rights-Reserved", ("reserved",)),
 ]
 #: Every known sentence holds one of these words; texts without any need no normalising.
-HINT = "(?i)licen|permi|software|redistribut|rights|warrant"
+HINT = "(?i)licen|permi|software|redistribut|rights|warrant|mozilla"
 #: Marks for the end of a sentence and for a line end that may be within one.
 STOP, LINE = "\x01", "\x02"
 #: A known sentence between marks, the longest first.

@@ -398,6 +398,16 @@ SOFTWARE.
     assert [(rows[k][1], got[k]) for k in range(len(rows)) if want[k] and got[k] != want[k]] == []
 
 
+def test_license_scan_finds_every_known_sentence(spark):
+    known = list(license_scan.SENTENCES.items())
+    assert [s for s, _ in known if not re.search(license_scan.HINT, s)] == []
+    got = license_scan.scan(spark.createDataFrame([(k, s) for k, (s, _) in enumerate(known)], "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_known, r.sentence_ids) for r in got} == {k: (1, i) for k, (_, i) in enumerate(known)}
+    notice = "This Source Code Form is subject to the terms of the Mozilla Public License, v 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    got = license_scan.scan(spark.createDataFrame([(1, notice)], "doc_id bigint, text string")).first()
+    assert (got.sentence_ids, got.licences, got.leftover) == ("mpl-2-ref;mpl-2-copy", "MPL-2.0", "")
+
+
 def test_packing_covers_every_id_once(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer
