@@ -4,7 +4,9 @@ Every participant of a dialogue gets a rendering in which their turns are the
 assistant's, everybody else is a named user, and the target spans, in
 characters, cover the assistant's words and the end mark after them. Turns
 meet by (conversation, turn number div PART), so the unit of work is bounded
-however long a dialogue is; a longer one is rendered part by part.
+however long a dialogue is; a longer one is rendered part by part, each part
+for every participant of the dialogue. The parts of one speaker, joined in
+order, are the rendering of the whole dialogue; no turn stands twice.
 
     <|system|>\\ntext<|end|>\\n
     <|user:NAME|>\\ntext<|end|>\\n
@@ -33,16 +35,26 @@ def perspectives(turns: DataFrame, part: int = PART) -> DataFrame:
     rows equal in all four columns are one turn; a null or empty text is an
     empty turn; a null role speaks as an unnamed user and, like the system,
     takes no perspective; turns of a null number make a part of their own,
-    whose number is null; rows of a null conv_id belong to no dialogue and
-    are left out; a part without participants gives no row; an empty table
-    gives an empty result; other columns are ignored.
+    whose number is null and which comes first; rows of a null conv_id belong
+    to no dialogue and are left out; a dialogue without participants gives no
+    row, and one who is silent in a part has no target spans there; an empty
+    table gives an empty result; other columns are ignored.
     """
-    rows = turns.where("conv_id IS NOT NULL").select(
-        "conv_id", F.floor(F.col("turn") / part).alias("part"), F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")).alias("_t")
+    known = turns.where("conv_id IS NOT NULL")
+    number = F.floor(F.col("turn") / part)
+    rows = known.select("conv_id", number.alias("part"), F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")).alias("_t"))
+    # Dialogues of several parts, told apart without their texts: each part is to know the speakers of all.
+    speaks = F.when(F.col("role") != SYSTEM, F.col("role"))
+    dialogues = known.groupBy("conv_id").agg(F.collect_set(F.struct(number.alias("part"))).alias("_parts"), F.collect_set(speaks).alias("_all"))
+    several = dialogues.where(F.size("_parts") > 1).select("conv_id", F.explode("_parts.part").alias("part"), F.lit(None).cast(rows.schema["_t"].dataType).alias("_t"), "_all")
+    parts = (
+        rows.withColumn("_all", F.lit(None).cast("array<string>"))
+        .unionByName(several)
+        .groupBy("conv_id", "part")
+        .agg(F.array_sort(F.collect_set("_t")).alias("_turns"), F.first("_all", ignorenulls=True).alias("_all"))
     )
-    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_set("_t")).alias("_turns"))
-    speakers = F.array_distinct(F.transform(F.filter("_turns", lambda t: t["role"] != SYSTEM), lambda t: t["role"]))
-    each = parts.select("*", F.explode(speakers).alias("speaker"))
+    own = F.array_distinct(F.transform(F.filter("_turns", lambda t: t["role"] != SYSTEM), lambda t: t["role"]))
+    each = parts.select("conv_id", "part", "_turns", F.explode(F.coalesce("_all", own)).alias("speaker"))
     head = lambda t: (
         F.when(t["role"] == SYSTEM, F.lit("<|system|>\n"))
         .when(t["role"] == F.col("speaker"), F.lit("<|assistant|>\n"))

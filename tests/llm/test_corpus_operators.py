@@ -127,6 +127,30 @@ def test_chat_round_trip(spark):
     assert by[2, 2, "u"].n_turns == 1200 - 1024
 
 
+def test_chat_parts_join_to_the_whole_dialogue(spark):
+    rng = random.Random(4)
+    rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "only here"), (1, 700, "system", "be brief"), (1, None, "dee", "when"), (1, None, None, "who")]
+    rows += [(1, t, rng.choice(["bob", "cy"]), "x" * rng.randint(0, 5)) for t in range(2, 600)] + [(1, t, "cy", f"t{t} <|") for t in range(1600, 1700)]
+    rows += [(2, 3, "system", "a"), (2, 600, "system", "b"), (3, 3, "ann", "a"), (3, 600, "system", "b"), (4, 3, "ann", "a"), (5, None, "ann", "b")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    parts = collections.defaultdict(list)
+    for r in sorted(chat_format.perspectives(df).collect(), key=lambda r: -1 if r.part is None else r.part):
+        parts[r.conv_id, r.speaker].append(r)
+    whole = collections.defaultdict(list)
+    for r in sorted(chat_format.perspectives(df, part=10**6).collect(), key=lambda r: -1 if r.part is None else r.part):
+        whole[r.conv_id, r.speaker].append(r)
+    assert set(parts) == set(whole) == {(1, "ann"), (1, "bob"), (1, "cy"), (1, "dee"), (3, "ann"), (4, "ann"), (5, "ann")}
+    assert {len(v) for k, v in parts.items() if k[0] == 1} == {4}
+    for key, rs in parts.items():
+        text = "".join(r.text for r in rs)
+        assert text == "".join(r.text for r in whole[key])
+        assert sum(r.n_turns for r in rs) == sum(r.n_turns for r in whole[key]) == len(parse_chat(text)) == len({x for x in rows if x[0] == key[0]})
+        for r in rs:
+            spans = [tuple(map(int, s.split(":"))) for s in r.target_spans.split()]
+            assert [r.text[a:b] for a, b in spans] == re.findall(r"(?s)<\|assistant\|>\n(.*?<\|end\|>)", r.text)
+            assert len(spans) == r.n_targets and sum(b - a for a, b in spans) == r.target_chars
+
+
 def test_token_counts(docs, none):
     import public_tokenizers
     import sentencepiece
