@@ -121,24 +121,30 @@ def negatives(board: Board):
             yield "sign", {cell: abs(board.value[cell])}
 
 
-def paired_digits(board: Board, width: int = 5):
-    """Two cells of two failures of one kind that settle them together."""
-    failing = [c for c in board.failing() if board.rule[c][0] == "="][:40]
+def paired_digits(board: Board):
+    """Two cells of two failures of one size that settle them together."""
+    failing = [c for c in board.failing() if board.rule[c][0] == "="]
+    alike: dict = defaultdict(list)
+    for cid in failing:
+        alike[abs(board.residual[cid])].append(cid)
     fixes: dict = {}
     for cid in failing:
-        found = []
+        if len(alike[abs(board.residual[cid])]) < 2:
+            continue
+        fixes[cid] = []
         for cell, coef in board.members[cid]:
             v, change = board.value[cell], -board.residual[cid] * coef
             new = digit_moves(v).get(change if v >= 0 else -change)
             if new is not None:
-                found.append((cell, new))
-        fixes[cid] = found[:width]
-    for i, a in enumerate(failing):
-        for b in failing[i + 1 :]:
-            if abs(board.residual[a]) == abs(board.residual[b]):
-                for (x, nx), (y, ny) in product(fixes[a], fixes[b]):
-                    if x != y:
-                        yield "paired", {x: nx, y: ny}
+                fixes[cid].append((cell, new))
+    place: dict = defaultdict(int)
+    for a in failing:
+        size = abs(board.residual[a])
+        place[size] += 1
+        for b in alike[size][place[size] :]:
+            for (x, nx), (y, ny) in product(fixes[a], fixes[b]):
+                if x != y:
+                    yield "paired", {x: nx, y: ny}
 
 
 def two_digits(board: Board):

@@ -138,6 +138,32 @@ def test_repair_never_raises_the_failures():
         assert len(board.failing()) == len(again.failing()) <= before
 
 
+def two_columns(rows):
+    """Terms of rows (males, females, true males, true females) and of a last row, their true total."""
+    cell = lambda o, col: ("S", o, "G", col)
+    out, lines = [], [(o, m, f) for o, (m, f, _, _) in enumerate(rows)] + [(999, sum(r[2] for r in rows), sum(r[3] for r in rows))]
+    for o, m, f in lines:
+        out += [(f"L1|{o:03}", "=", 0, 0, cell(o, col), k, v) for col, k, v in (("persons", 1, m + f), ("males", -1, m), ("females", -1, f))]
+        out += [(f"L2|{col}", "=", 0, 0, cell(o, col), 1 if o == 999 else -1, v) for col, v in (("persons", m + f), ("males", m), ("females", f))]
+    return out
+
+
+def test_pairs_are_tried_behind_many_failures_and_fixes():
+    a, b = next((a, b) for a, b in sorted(solve.PAIRS) if 0 < a < b and (b, a) in solve.PAIRS)
+    # In the last row males read b for a, females a for b. The males of rows before could be such a misreading too, their females, of a digit 9, not.
+    wrong = (1000 + b * 100, 5000 + a * 100, 1000 + a * 100, 5000 + b * 100)
+    plain = (1000 + b * 100, 5900, 1000 + b * 100, 5900)
+    board, log, before = solve.repair(two_columns([plain, wrong]))
+    assert before == 2 and board.failing() == [] and {(x[0], x[1][1]) for x in log} == {("paired", 1)}
+    # Seven such rows: the right fix is the eighth.
+    board, log, before = solve.repair(two_columns([plain] * 7 + [wrong]))
+    assert before == 2 and board.failing() == [] and {(x[0], x[1][1]) for x in log} == {("paired", 7)}
+    # Fifty failures before it that nothing settles.
+    noise = [(f"L0|{k}", "=", 0, 0, ("N", k, "G", "persons"), 1, 333_333_333 + k) for k in range(50)] + [(f"L0|{k}", "=", 0, 0, ("N", k, "H", "persons"), -1, 2) for k in range(50)]
+    board, log, before = solve.repair(noise + two_columns([plain, wrong]))
+    assert before == 52 and len(board.failing()) == 50 and {x[0] for x in log} == {"paired"}
+
+
 def test_ensemble_uses_equations():
     cands = {("a", "persons"): [(30, 3)], ("a", "males"): [(12, 2), (10, 1)], ("a", "females"): [(20, 2), (26, 1)],
              ("b", "persons"): [(7, 3)], ("b", "males"): [(3, 3)], ("b", "females"): [(5, 1), (4, 1), (9, 1)],
