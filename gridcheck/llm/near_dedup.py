@@ -15,8 +15,9 @@
    pair in the first band that it shares, and only links that join two
    components leave it. Components are then closed again.
 
-A pair at the threshold shares no band with a chance of 2e-6; all pairs that
-share one and aren't in one component already are compared on full sets.
+A pair at the threshold shares no band with a chance of 2e-6 at most; all
+pairs that share one and aren't in one component already are compared on full
+sets. Lower thresholds have more bands, of fewer slots.
 """
 
 from __future__ import annotations
@@ -29,14 +30,23 @@ from gridcheck.llm.common import bounded_batches, checkpointed, map_texts, small
 from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, slices, windows
 
 SHINGLE, PERCENT = 5, 75
-SLOTS, ROWS = 72, 3
-BANDS = SLOTS // ROWS
+SLOTS, MISSED = 72, 2e-6
 #: Members of a bucket that step 5 compares at once, twice over.
 BLOCK = 1024
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SALT_1, SALT_2 = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
+def bands(percent: int) -> tuple[int, int]:
+    """Bands and slots in each, the most that miss a pair at the threshold with a chance of MISSED at most."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent is {percent}, not in 1 to 100")
+    for rows in (3, 2, 1):
+        if (1 - (percent / 100) ** rows) ** (SLOTS // rows) < MISSED:
+            return SLOTS // rows, rows
+    raise ValueError(f"{SLOTS} slots miss too many pairs at {percent} percent")
+
+
 def shingle_sets(texts: Texts, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every distinct shingle, ascending within its text; shingles per text)."""
     start, end = texts.words()
@@ -197,13 +207,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _search_block(key, table):
+def _search_block(key, table, percent, count, rows):
     """Links between different components in one block pair of a bucket: at most as many as would join them."""
     import pyarrow as pa
 
     band, lo, hi = (k.as_py() for k in key[1:])
     rep, comp, side = (table[c].to_numpy() for c in ("_rep", "_comp", "_side"))
-    bands = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, BANDS, ROWS)
+    banded = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, count, rows)
     sets, n = bounded_sets(pa.concat_arrays(table["_text"].chunks))
     table = None
     first = np.append(0, np.cumsum(n))
@@ -215,9 +225,9 @@ def _search_block(key, table):
     a, b = [], []
     for i in np.flatnonzero(side == lo):
         other = right[rep[right] > rep[i]] if lo == hi else right
-        other = other[(root[other] != root[i]) & (100 * np.minimum(n[other], n[i]) >= PERCENT * np.maximum(n[other], n[i]))]
+        other = other[(root[other] != root[i]) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
         if len(other):
-            other = other[(bands[other] == bands[i]).all(2).argmax(1) == band]
+            other = other[(banded[other] == banded[i]).all(2).argmax(1) == band]
         if len(other) < 16:
             both = np.array([common_shingles(sets[first[i] : first[i + 1]], sets[first[j] : first[j + 1]]) for j in other], np.int64)
         else:
@@ -225,7 +235,7 @@ def _search_block(key, table):
             size = held[mine + 1] - held[mine]
             at = np.repeat(held[mine] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
             both = np.bincount(holder[at], minlength=len(n))[other]
-        for j in other[100 * both >= PERCENT * (n[i] + n[other] - both)]:
+        for j in other[100 * both >= percent * (n[i] + n[other] - both)]:
             if root[j] != root[i]:
                 root[root == root[j]] = root[i]
                 a.append(rep[i])
@@ -247,7 +257,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Words are runs of all but ASCII white space, A-Z lower-cased. Documents
     whose sets of distinct 5-word shingles have a Jaccard index of at least
-    percent are linked; component_id is the least doc_id reachable.
+    percent are linked; component_id is the least doc_id reachable. A percent
+    for which the bands would miss pairs is an error.
 
     Defined cases: with fewer than five words all of them are one shingle; a
     null text or one without words has none, is linked with nothing and kept;
@@ -256,6 +267,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component_id and is kept; an empty table gives an empty result; other
     columns are ignored.
     """
+    count, width = bands(percent)
     fields = [("n_shingles", "long"), ("_f1", "long"), ("_f2", "long"), ("_sig", "binary")]
     narrow = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("_fp"))
     rows = checkpointed(map_texts(narrow, lambda: describe, fields, drop=("text",)))
@@ -265,7 +277,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "_fp")).alias("_r"), F.first("n_shingles").alias("_n"), F.first("_sig").alias("_sig"))
         .select(F.col("_r.doc_id").alias("_rep"), F.col("_r._fp").alias("_fp"), "_n", "_f1", "_f2", "_sig")
     )
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", 1 + 4 * ROWS * b, 4 * ROWS)) for b in range(BANDS)])
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("_sig", 1 + 4 * width * b, 4 * width)) for b in range(count)])
     banded = classes.select("_rep", "_fp", "_n", F.posexplode(keys).alias("_band", "_key"))
     hubs = banded.groupBy("_key").agg(F.min(F.struct("_rep", "_fp", "_n")).alias("_hub"), F.count(F.lit(1)).alias("_size")).where("_size > 1")
     hubs = checkpointed(hubs)
@@ -288,7 +300,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = rest.withColumn("_side", side).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rest = rest.withColumn("_i", F.least("_side", "_other")).withColumn("_j", F.greatest("_side", "_other"))
     rest = rest.select("_key", "_band", "_i", "_j", "_rep", "_comp", "_side").join(carried, "_rep")
-    more = checkpointed(rest.groupBy("_key", "_band", "_i", "_j").applyInArrow(_search_block, "a long, b long").distinct())
+
+    def search(key, table):
+        return _search_block(key, table, percent, count, width)
+
+    more = checkpointed(rest.groupBy("_key", "_band", "_i", "_j").applyInArrow(search, "a long, b long").distinct())
     if more.limit(1).count():
         labels = components(labels.toDF("a", "b").union(more))
     named = classes.join(labels, classes["_rep"] == labels["node"], "left").select("_f1", "_f2", F.coalesce("label", "_rep").alias("_comp"))

@@ -323,6 +323,29 @@ def test_near_dedup_closes_mixed_buckets(spark):
         assert got[start] == min(seen)
 
 
+@pytest.mark.parametrize("percent", [60, 90])
+def test_near_dedup_takes_the_percent_in_every_step(spark, percent):
+    """A chain whose neighbours are alike by some 84 percent: one component at 60, none at 90."""
+    rng, words, rows = random.Random(9), [f"w{k}" for k in range(120)], []
+    for k in range(30):
+        for j in range(2):
+            words[rng.randrange(120)] = f"x{k}-{j}"
+        rows.append((k, " ".join(words)))
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+            lo, hi = sorted((label[a], label[b]))
+            label = {i: lo if x == hi else x for i, x in label.items()}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, percent).collect()} == label
+    assert (1 - (percent / 100) ** near_dedup.bands(percent)[1]) ** near_dedup.bands(percent)[0] < 2e-6
+    assert near_dedup.bands(75) == (24, 3)
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(df, 10)
+
+
 def test_super_minhash_estimates_jaccard():
     rng = np.random.default_rng(4)
     for n, shared in ((8, 6), (60, 45), (900, 600)):
