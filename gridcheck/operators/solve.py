@@ -216,6 +216,51 @@ def repair_tables(terms: DataFrame) -> DataFrame:
 COLS = ("persons", "males", "females")
 
 
+def recheck(terms: list[tuple], readings: list[dict]) -> tuple[Board, list[tuple], int]:
+    """Re-readings {cell: value} in order: each is put in and kept only if the failures drop. Null and unknown cells stay as they are."""
+    board = Board(terms)
+    before, log = len(board.failing()), []
+    for k, reading in enumerate(readings):
+        change = {c: v for c, v in reading.items() if v is not None and c in board.value and v != board.value[c]}
+        trial = board
+        if any(board.value[c] is None for c in change):
+            # A filled cell brings in constraints that weren't counted.
+            trial = Board([(*t[:6], change.get(t[4], board.value[t[4]])) for t in terms])
+            gain = len(board.failing()) - len(trial.failing())
+        else:
+            gain = board.gain(change)
+        if gain > 0:
+            log += [(k, cell, board.value[cell], new) for cell, new in change.items()]
+            if trial is board:
+                board.apply(change)
+            board = trial
+    return board, log, before
+
+
+def recheck_tables(terms: DataFrame, readings: DataFrame) -> DataFrame:
+    """The kept cells of re-readings (table_id, nth, section, row_ord, grp, persons, males, females), tried in the order of nth
+    and then of their keys and values, for every table of an incidence with values."""
+    key = ["section", "row_ord", "grp"]
+
+    def run(left, right):
+        import pandas as pd
+
+        number = lambda v: None if pd.isna(v) else int(v)
+        rows = [
+            (r.cid, r.op, int(r.rhs), int(r.tol), (r.section, int(r.row_ord), r.grp, r.col), int(r.coef), number(r.value))
+            for r in left.sort_values(["cid", *key, "col"]).itertuples()
+        ]
+        again = right.dropna(subset=["row_ord"]).sort_values(["nth", *key, *COLS]).to_dict("records")
+        board, log, before = recheck(rows, [{(r["section"], int(r["row_ord"]), r["grp"], c): number(r[c]) for c in COLS} for r in again])
+        out = [(int(again[k]["table_id"]), number(again[k]["nth"]), *cell, old, new, before, len(board.failing())) for k, cell, old, new in log]
+        out = pd.DataFrame(out, columns=["table_id", "nth", *key, "col", "old", "new", "before", "after"])
+        return out.astype({"nth": "Int64", "row_ord": "Int32", "old": "Int64", "new": "Int64"})
+
+    return terms.groupBy("table_id").cogroup(readings.groupBy("table_id")).applyInPandas(
+        run, "table_id long, nth long, section string, row_ord int, grp string, col string, old long, new long, before long, after long"
+    )
+
+
 def ensemble(candidates: dict, n_readings: int, groups: dict[str, list[str]], known: dict | None = None) -> tuple[dict, dict]:
     """Values and statuses of the cells (age, col) of one group of columns.
 

@@ -164,6 +164,29 @@ def test_pairs_are_tried_behind_many_failures_and_fixes():
     assert before == 52 and len(board.failing()) == 50 and {x[0] for x in log} == {"paired"}
 
 
+def test_rereadings_are_kept_only_if_failures_drop(spark):
+    truth = {(r[1], r[3], r[4]): r[5:] for r in table(9)}
+    bad = {("A", 2, "X"): (None, 11, 0), ("B", 4, "Y"): (70, 0, -5)}
+    rows = [(*r[:5], *(x + d if d is not None else None for x, d in zip(r[5:], bad.get((r[1], r[3], r[4]), (0, 0, 0)), strict=True))) for r in table(9)]
+    right, other = truth["A", 2, "X"], truth["A", 3, "X"]
+    again = [
+        (9, 1, "A", 3, "X", other[0] + 1, *other[1:]),  # breaks what held
+        (9, 2, "A", 2, "X", *right),  # fills persons and mends males
+        (9, 3, "B", 4, "Y", truth["B", 4, "Y"][0], None, None),  # mends persons alone
+        (9, 4, "no", 4, "Y", 1, 2, 3),
+        (9, 5, "A", 2, "X", *right),  # nothing new
+        (8, 1, "A", 2, "X", *right),  # a table without terms
+    ]
+    df = spark.createDataFrame(again, "table_id bigint, nth bigint, section string, row_ord int, grp string, persons bigint, males bigint, females bigint")
+    got = solve.recheck_tables(c.incidence(spark.createDataFrame(rows, WIDE)), df).collect()
+    assert {(x.nth, x.section, x.row_ord, x.grp, x.col, x.old, x.new) for x in got} == {
+        (2, "A", 2, "X", "persons", None, right[0]),
+        (2, "A", 2, "X", "males", right[1] + 11, right[1]),
+        (3, "B", 4, "Y", "persons", truth["B", 4, "Y"][0] + 70, truth["B", 4, "Y"][0]),
+    }
+    assert all(x.after < x.before for x in got)
+
+
 def test_ensemble_uses_equations():
     cands = {("a", "persons"): [(30, 3)], ("a", "males"): [(12, 2), (10, 1)], ("a", "females"): [(20, 2), (26, 1)],
              ("b", "persons"): [(7, 3)], ("b", "males"): [(3, 3)], ("b", "females"): [(5, 1), (4, 1), (9, 1)],
