@@ -1,15 +1,16 @@
 """Token counts of a sentencepiece BPE model by rank-synchronous merging.
 
 Texts fall apart into pre-tokens across which the model can't merge. Each
-distinct pre-token is encoded once per cache life: all of one length form a
-matrix of symbols, and every round applies to every row, at once, the merge
-of lowest rank in that row (the leftmost among equals). Rows in which no pair
-can merge retire with the number of symbols that survive.
+distinct pre-token is encoded once per cache life: the symbols of all of them
+lie in one ragged array, and every round applies to each sequence, at once,
+its merge of lowest rank, in all places where that is the same as one place
+after the other. Sequences in which no pair can merge retire with the number
+of symbols that survive. A sequence takes a round for each rank that it
+merges at, so long ones don't take rounds by their length.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 
 import numpy as np
@@ -19,9 +20,9 @@ from gridcheck.llm.common import map_texts
 
 SPACE = "▁"
 NEVER = np.int32(2**31 - 1)
-#: Pre-tokens with more symbols than this are merged one at a time, in n log n steps.
-WIDE = 48
 CACHED = 400_000
+#: Symbols that are merged in one ragged array, unless one pre-token has more.
+FLAT = 1_000_000
 _SPACED = re.compile(" +[^ ]*")
 
 
@@ -45,8 +46,16 @@ class PieceCounter:
             for k in range(1, len(p)):
                 if p[:k] in symbol and p[k:] in symbol:
                     pairs[symbol[p[:k]] * int(self.size) + symbol[p[k:]]] = (rank[-sp.get_score(i)], i)
-        self.pairs = pairs
         self._hash(pairs)
+        # Ranks whose merge can make a pair of no higher rank, or that several pieces share: there, places are merged one by one.
+        formed = {i: r for r, i in pairs.values()}
+        self.one_by_one = np.zeros(len(scores), bool)
+        for key, (r, _) in pairs.items():
+            for part in divmod(key, int(self.size)):
+                if r <= formed.get(part, -1):
+                    self.one_by_one[formed[part]] = True
+        shared = np.bincount(list(formed.values()), minlength=len(scores)) > 1 if formed else self.one_by_one
+        self.one_by_one |= shared
         chars = [c for c in symbol if len(c) == 1]
         self.char_id = np.full(0x110000, -1, np.int32)
         self.char_id[[ord(c) for c in chars]] = [symbol[c] for c in chars]
@@ -104,66 +113,49 @@ class PieceCounter:
             todo = todo[(self.keys[at[todo]] != flat[todo]) & (self.keys[at[todo]] != -1)]
         return at.reshape(key.shape)
 
-    def _square(self, symbols: np.ndarray, loose: np.ndarray) -> np.ndarray:
-        """Tokens of each row of symbols, all of one length; loose: the sum over its characters that are no symbol."""
-        n, width = symbols.shape
-        out = loose.copy()
-        rows = np.arange(n)
-        slot = self._find(symbols[:, :-1], symbols[:, 1:])
-        while True:
-            rank = self.slot_rank[slot]
-            at = rank.argmin(1) if rank.shape[1] else np.zeros(len(rows), np.int64)
-            live = rank[np.arange(len(rows)), at] != NEVER if rank.shape[1] else np.zeros(len(rows), bool)
-            if not live.all():
-                rest = symbols[~live]
-                out[rows[~live]] += np.where(rest >= 0, self.weight[rest], 0).sum(1)
-                rows, symbols, slot, at = rows[live], symbols[live], slot[live], at[live]
-            if not len(rows):
-                return out
-            line = np.arange(len(rows))
-            merged = self.slot_id[slot[line, at]]
-            width = symbols.shape[1]
-            right = np.arange(width - 1)[None, :] > at[:, None]
-            symbols = np.where(right, symbols[:, 1:], symbols[:, :-1])
-            symbols[line, at] = merged
-            if width == 2:
-                slot = slot[:, :0]
-                continue
-            slot = np.where(right[:, : width - 2] | (np.arange(width - 2)[None, :] >= at[:, None]), slot[:, 1:], slot[:, :-1])
-            has_left, has_right = at > 0, at < width - 2
-            a = line[has_left]
-            slot[a, at[a] - 1] = self._find(symbols[a, at[a] - 1], merged[a])
-            b = line[has_right]
-            slot[b, at[b]] = self._find(merged[b], symbols[b, at[b] + 1])
-
-    def _long(self, symbols: list[int], alone: list[int]) -> int:
-        """One long run: a heap of (rank, place) over linked symbols."""
-        n, size = len(symbols), int(self.size)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        weight = list(alone)
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def push(i: int) -> None:
-            j = after[i] if i >= 0 else n
-            if i >= 0 and j < n and symbols[i] >= 0 and symbols[j] >= 0:
-                hit = self.pairs.get(symbols[i] * size + symbols[j])
-                if hit:
-                    heapq.heappush(heap, (hit[0], i, symbols[i], symbols[j], hit[1]))
-
-        for i in range(n - 1):
-            push(i)
-        while heap:
-            _, i, left, right, new = heapq.heappop(heap)
-            j = after[i]
-            if symbols[i] != left or j >= n or symbols[j] != right:
-                continue
-            symbols[i], symbols[j], weight[i], weight[j] = new, -2, 1, 0
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            push(before[i])
-            push(i)
-        return sum(weight)
+    def _merge(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Tokens of the symbols that survive in each sequence of a ragged array; characters that are no symbol count 0."""
+        out = np.zeros(len(lengths), np.int64)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        slot = np.append(self._find(symbols[:-1], symbols[1:]), 0)
+        ends = np.cumsum(lengths) - 1
+        rank, new = self.slot_rank[slot], self.slot_id[slot]
+        rank[ends] = NEVER
+        while len(symbols):
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            size = np.diff(np.append(first, len(symbols)))
+            low = np.minimum.reduceat(rank, first)
+            done = low == NEVER
+            if done.any():
+                gone = np.repeat(done, size)
+                rest = symbols[gone]
+                out += np.bincount(owner[gone], weights=np.where(rest >= 0, self.weight[rest], 0), minlength=len(out)).astype(np.int64)
+                symbols, owner, rank, new = symbols[~gone], owner[~gone], rank[~gone], new[~gone]
+                low, size = low[~done], size[~done]
+                if not len(symbols):
+                    break
+            at = np.flatnonzero(rank == np.repeat(low, size))
+            # Of places that overlap, every other one from the left; of ranks that need it, the leftmost alone.
+            nth = np.arange(len(at))
+            head = np.append(True, at[1:] != at[:-1] + 1)
+            chosen = (nth - np.maximum.accumulate(np.where(head, nth, 0))) % 2 == 0
+            leftmost = np.append(True, owner[at[1:]] != owner[at[:-1]])
+            at = at[chosen & (leftmost | ~self.one_by_one[rank[at]])]
+            symbols[at] = new[at]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            # What stood after the right part of a pair stands after the pair.
+            rank[at], new[at] = rank[at + 1], new[at + 1]
+            symbols, owner, rank, new = symbols[keep], owner[keep], rank[keep], new[keep]
+            at = at - np.arange(len(at))
+            after = at[at + 1 < len(symbols)]
+            after = after[owner[after + 1] == owner[after]]
+            before = at[at > 0] - 1
+            before = before[owner[before] == owner[before + 1]]
+            near = np.union1d(after, before)
+            slot = self._find(symbols[near], symbols[near + 1])
+            rank[near], new[near] = self.slot_rank[slot], self.slot_id[slot]
+        return out
 
     def count_words(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token, given without its leading space mark."""
@@ -176,21 +168,15 @@ class PieceCounter:
         start = np.flatnonzero(cut)
         length = np.diff(np.append(start, len(text)))
         symbols, alone = self.char_id[text], self.alone[text]
-        tokens = np.zeros(len(start), np.int64)
-        order = np.argsort(length, kind="stable")
-        widths, first = np.unique(length[order], return_index=True)
-        for width, group in zip(widths.tolist(), np.split(order, first[1:]), strict=True):
-            if width == 1:
-                tokens[group] = alone[start[group]]
-            elif width <= WIDE:
-                for part in np.array_split(group, 1 + len(group) * width // 1_000_000):
-                    at = start[part][:, None] + np.arange(width)
-                    block = symbols[at]
-                    tokens[part] = self._square(block, np.where(block < 0, alone[at], 0).sum(1))
-            else:
-                for g in group:
-                    s = slice(start[g], start[g] + width)
-                    tokens[g] = self._long(symbols[s].tolist(), alone[s].tolist())
+        tokens = np.add.reduceat(np.where(symbols < 0, alone, 0), start).astype(np.int64) if len(start) else np.zeros(0, np.int64)
+        single = length == 1
+        tokens[single] = alone[start[single]]
+        several = np.flatnonzero(~single)
+        total = np.cumsum(length[several])
+        for part in np.split(several, np.searchsorted(total, np.arange(FLAT, total[-1] if len(total) else 0, FLAT))):
+            n = length[part]
+            at = np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            tokens[part] += self._merge(symbols[at], n)
         return np.bincount(owner[start], weights=tokens, minlength=len(words)).astype(np.int64)
 
     def count(self, texts: list[str | None]) -> list[int]:
