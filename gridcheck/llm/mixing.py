@@ -2,13 +2,15 @@
 
 The words of each source, its documents in a pseudorandom order, are cut into
 blocks of fixed length. Output shards draw a multinomial number of slots for
-each source; the slots of a source are numbered through all shards, numbers
-beyond its share of the mix pass to sources that fell short, and number i
-becomes the block perm(i mod blocks) of its source, another permutation for
-each time round. Blocks join slots by (source, index), keys that are unique
-on one side and at most CAP-fold on the other, however large a source is.
-Running positions come from sums per (source, bucket), so no task holds a
-source.
+each source, a draw for every slot; the slots of a source are numbered through
+all shards, and number i becomes the block perm(i mod blocks) of its source,
+another permutation for each time round. So the draws decide how many blocks
+of a source are taken; only a source whose draws in all end more than
+TOLERANCE from its share, or over CAP times its blocks, is held at that limit:
+its last slots stay empty, or shards are added. Blocks join slots by (source,
+index), keys that are unique on one side and at most CAP-fold on the other,
+however large a source is. Running positions come from sums in two levels, so
+no task holds a source or all shards.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from gridcheck.llm.common import WORD, checkpointed, free_name, small
 
 BLOCK, SHARD, CAP = 64, 16_384, 3
 WEIGHTS = (1, 2, 3)
+#: Share of its slots by which the draws may take a source off its target.
+TOLERANCE = 0.01
+#: Shards whose draws are summed before they are numbered.
+RUN = 1024
 #: Primes above any number of blocks: each is a full-period multiplier for every modulus.
 PRIMES = (2305843009213693951, 2305843009213693921, 2305843009213693907)
 #: Intervals of slot numbers are looked up by this many equal buckets.
@@ -86,46 +92,64 @@ def permuted(i: Column, blocks: Column, sid: Column, wide: bool) -> Column:
     return ((i.cast(number) % n * step.cast(number) + offset) % n).cast(LONG)
 
 
-def shard_slots(spark, sources: DataFrame, n_sources: int, total: int, shard: int = SHARD) -> DataFrame:
-    """(_shard, _sid, _i): the slots of every output shard and the number of each within its source."""
+def drawn_slots(spark, sources: DataFrame, n_sources: int, total: int, shard: int = SHARD, seed: int = 0) -> DataFrame:
+    """(_shard, _sid, _n): the multinomial counts of every output shard; slot
+    number s draws a place among all shares, from a hash of s and the seed."""
     width = max(1, -(-total // LOOKUP))
     ends = Window.partitionBy().orderBy("_sid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = sources.where("_slots > 0").withColumn("_hi", F.sum("_slots").over(ends)).withColumn("_lo", F.col("_hi") - F.col("_slots"))
     first, last = F.expr(f"_lo div {width}L"), F.expr(f"(_hi - 1) div {width}L")
     looked = spans.select("_sid", "_lo", "_hi", F.explode(F.sequence(first, last)).alias("_at"))
-    drawn = (
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"))), 1, 15), 16, 10).cast(LONG)
+    return (
         spark.range(total)
-        .select(F.expr(f"id div {shard}L").alias("_shard"), F.pmod(F.xxhash64("id"), F.lit(total)).alias("_u"))
+        .select(F.expr(f"id div {shard}L").alias("_shard"), F.pmod(draw, F.lit(total)).alias("_u"))
         .withColumn("_at", F.expr(f"_u div {width}L"))
         .join(small(looked, n_sources + LOOKUP), "_at")
         .where("_u >= _lo AND _u < _hi")
         .groupBy("_shard", "_sid")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    numbered = drawn.withColumn("_from", _zero(F.sum("_n").over(_before(["_sid"], "_shard"))))
-    owned = numbered.join(small(sources.select("_sid", "_slots"), n_sources), "_sid")
-    owned = owned.withColumn("_keep", F.greatest(F.lit(0).cast(LONG), F.least("_n", F.col("_slots") - F.col("_from"))))
-    mine = owned.where("_keep > 0").select("_shard", "_sid", F.explode(F.expr("sequence(_from, _from + _keep - 1)")).alias("_i"))
-    # Slots over a source's share, in the order of shards, go to the sources that are short.
-    spare = owned.groupBy("_shard").agg(F.sum(F.col("_n") - F.col("_keep")).alias("_n")).where("_n > 0")
-    spare = spare.withColumn("_from", _zero(F.sum("_n").over(_before([], "_shard"))))
-    spare = spare.select("_shard", F.explode(F.expr("sequence(_from, _from + _n - 1)")).alias("_nth"))
-    got = sources.select("_sid", "_slots").join(drawn.groupBy("_sid").agg(F.sum("_n").alias("_got")), "_sid", "left")
-    short = got.withColumn("_got", _zero(F.col("_got"))).where("_got < _slots").withColumn("_n", F.col("_slots") - F.col("_got"))
-    short = short.withColumn("_from", _zero(F.sum("_n").over(_before([], "_sid"))))
-    short = short.select("_sid", F.posexplode(F.expr("sequence(_got, _slots - 1)")).alias("_k", "_i"), "_from")
-    given = short.withColumn("_nth", F.col("_from") + F.col("_k")).join(spare, "_nth").select("_shard", "_sid", "_i")
-    return mine.unionByName(given)
-
-
-def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, spans: bool = False) -> DataFrame:
+
+
+def shard_slots(spark, sources: DataFrame, n_sources: int, total: int, shard: int = SHARD, seed: int = 0) -> DataFrame:
+    """(_shard, _slot, _sid, _i): the slots of every output shard, in a
+    pseudorandom order, and the number of each within its source."""
+    drawn = drawn_slots(spark, sources, n_sources, total, shard, seed).withColumn("_run", F.expr(f"_shard div {RUN}L"))
+    runs = drawn.groupBy("_sid", "_run").agg(F.sum("_n").alias("_r"))
+    runs = runs.withColumn("_ahead", _zero(F.sum("_r").over(_before(["_sid"], "_run")))).drop("_r")
+    inside = _zero(F.sum("_n").over(_before(["_sid", "_run"], "_shard")))
+    numbered = drawn.withColumn("_inside", inside).join(runs, ["_sid", "_run"])
+    slack = F.floor(F.col("_slots") * TOLERANCE).cast(LONG)
+    limits = sources.select("_sid", (F.col("_slots") - slack).alias("_least"), F.least(F.col("_slots") + slack, CAP * F.col("_blocks")).alias("_most"))
+    owned = numbered.select("_shard", "_sid", "_n", (F.col("_ahead") + F.col("_inside")).alias("_from")).join(small(limits, n_sources), "_sid")
+    owned = owned.select("_shard", "_sid", "_from", F.least("_n", F.col("_most") - F.col("_from")).alias("_n")).where("_n > 0")
+    got = drawn.groupBy("_sid").agg(F.sum("_n").alias("_got"))
+    short = limits.join(got, "_sid", "left").withColumn("_got", _zero(F.col("_got"))).where("_got < _least")
+    short = short.withColumn("_from", F.explode(F.expr(f"sequence(_got, _least - 1, {shard}L)")))
+    added = F.expr(f"{-(-total // shard)}L + (_from - _got) div {shard}L").alias("_shard")
+    short = short.select(added, "_sid", "_from", F.least(F.lit(shard).cast(LONG), F.col("_least") - F.col("_from")).alias("_n"))
+    counts = owned.unionByName(short)
+    # A shard has at most a row for each source.
+    counts = counts.withColumn("_start", _zero(F.sum("_n").over(_before(["_shard"], "_sid"))))
+    counts = counts.withColumn("_size", F.sum("_n").over(Window.partitionBy("_shard")))
+    slots = counts.select("_shard", "_sid", "_from", "_start", "_size", F.explode(F.expr("sequence(0L, _n - 1)")).alias("_k"))
+    place = F.expr(f"((_start + _k) * {PRIMES[0]}BD + _shard) % _size").cast(LONG)
+    return slots.select("_shard", place.alias("_slot"), "_sid", (F.col("_from") + F.col("_k")).alias("_i"))
+
+
+def mix(
+    docs: DataFrame, block: int = BLOCK, shard: int = SHARD, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 0, spans: bool = False
+) -> DataFrame:
     """One row per row of docs: doc_id, source, _key, size, source_size,
     target, taken and, with spans, the array taken_spans of (turn, first,
-    last): the words, counted from 0, that each time round takes.
+    last, shard, slot): the words, counted from 0, that each time round takes,
+    and the slot of an output shard to which they go.
 
-    size counts the words of the whole text. taken comes within about one
-    block per source of target, at most cap times size for each document, and
-    depends on nothing but the rows.
+    size counts the words of the whole text. taken is what the draws of all
+    shards give: for a source within TOLERANCE, and about a block, of target,
+    at most cap times size for each document. It depends on nothing but the
+    rows and the seed.
 
     Defined cases: a null or wordless text has size 0 and takes nothing; null
     is a source of its own, last in order; an all-empty table has targets 0;
@@ -153,14 +177,14 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, weights: tuple[
     first = F.greatest(F.lit(0).cast(LONG), F.col("_block") * block - F.col("_start"))
     last = F.least(F.col("size"), (F.col("_block") + 1) * block - F.col("_start"))
     pieces = pieces.select("_sid", "_start", "_block", first.cast("int").alias("_first"), last.cast("int").alias("_last"))
-    slots = shard_slots(spark, sources, n_sources, total, shard).join(small(sources.select("_sid", "_blocks"), n_sources), "_sid")
-    slots = slots.select(
-        "_sid", permuted(F.col("_i"), F.col("_blocks"), F.col("_sid"), wide).alias("_block"), F.expr("int(_i div _blocks)").alias("_turn")
-    )
-    used = pieces.join(slots, ["_sid", "_block"])
+    slots = shard_slots(spark, sources, n_sources, total, shard, seed).join(small(sources.select("_sid", "_blocks"), n_sources), "_sid")
+    index = permuted(F.col("_i"), F.col("_blocks"), F.col("_sid"), wide).alias("_block")
+    place = [F.expr("int(_i div _blocks)").alias("turn"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot")] if spans else []
+    used = pieces.join(slots.select("_sid", index, *place), ["_sid", "_block"])
     found = [F.sum(F.col("_last") - F.col("_first")).alias("_taken")]
     if spans:
-        found.append(F.array_sort(F.collect_list(F.struct(F.col("_turn").alias("turn"), F.col("_first").alias("first"), F.col("_last").alias("last")))).alias("taken_spans"))
+        span = F.struct("turn", F.col("_first").alias("first"), F.col("_last").alias("last"), "shard", "slot")
+        found.append(F.array_sort(F.collect_list(span)).alias("taken_spans"))
     taken = used.groupBy("_sid", "_start").agg(*found)
     out = placed.join(taken, ["_sid", "_start"], "left")
     more = ["taken_spans"] if spans else []
@@ -171,33 +195,30 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """docs as the mix takes them: a row per document and time round, with
     the columns of docs, whose text is the taken words with the white space
     before them and whose n_chars, if there is such a column, is its length.
-    A document of which nothing is taken is left out."""
-    key, id_ = free_name(docs, "_mix_key", "_mix_id")
-    plan = mix(docs, spans=True, **options).where("taken > 0").select(
-        F.col("doc_id").alias(id_), F.col("_key").alias(key), F.col("source").alias("_mix_source"), "taken_spans"
-    )
+
+    Defined cases: those of mix(); a document of which nothing is taken, as
+    one without words, is left out; rows equal in doc_id, source and text are
+    documents of their own, told apart by a hash of their other columns; an
+    empty table gives an empty result; all other columns pass through.
+    """
+    key, id_, of, spans, mine, nth, turn, words = free_name(docs, "_key", "_id", "_of", "_spans", "_mine", "_nth", "_turn", "_words")
+    plan = mix(docs.select("doc_id", "source", "text"), spans=True, **options).where("taken > 0")
+    plan = plan.select(F.col("doc_id").alias(id_), F.col("_key").alias(f"{key}_2"), F.col("source").alias(of), F.col("taken_spans").alias(spans))
     # Rows equal in id, source and text share their plans: the nth row takes the nth plan.
-    same = Window.partitionBy(id_, key, "_mix_source").orderBy("taken_spans")
-    plan = plan.withColumn("_mix_nth", F.row_number().over(same))
+    plan = plan.withColumn(nth, F.row_number().over(Window.partitionBy(id_, f"{key}_2", of).orderBy(spans)))
     left = docs.withColumn(key, doc_key(F.col("doc_id"), F.col("text")))
-    twin = Window.partitionBy("doc_id", key, "source").orderBy(F.lit(0))
-    left = left.withColumn("_mine", F.row_number().over(twin))
-    joined = left.join(
-        plan,
-        left["doc_id"].eqNullSafe(plan[id_])
-        & (left[key] == plan[key])
-        & left["source"].eqNullSafe(plan["_mix_source"])
-        & (left["_mine"] == plan["_mix_nth"]),
-    ).drop(plan[key])
-    turns = F.array_distinct(F.transform("taken_spans", lambda s: s["turn"]))
-    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    rows = joined.withColumn("_words", words).withColumn("_turn", F.explode(turns))
-    mine = F.filter("taken_spans", lambda s: s["turn"] == F.col("_turn"))
-    text = F.array_join(F.flatten(F.transform(mine, lambda s: F.slice("_words", s["first"] + 1, s["last"] - s["first"]))), "")
+    others = F.xxhash64(F.lit(0), *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in docs.columns if c not in ("doc_id", "source", "text")])
+    left = left.withColumn(mine, F.row_number().over(Window.partitionBy("doc_id", key, "source").orderBy(others)))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(f"{key}_2")) & F.col("source").eqNullSafe(F.col(of)) & (F.col(mine) == F.col(nth))
+    rows = left.join(plan, same)
+    rows = rows.withColumn(words, F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = rows.withColumn(turn, F.explode(F.array_distinct(F.transform(spans, lambda s: s["turn"]))))
+    taken = F.filter(spans, lambda s: s["turn"] == F.col(turn))
+    text = F.array_join(F.flatten(F.transform(taken, lambda s: F.slice(words, s["first"] + 1, s["last"] - s["first"]))), "")
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -227,8 +248,19 @@ WITH sized AS (
   FROM filled f, level l
 ), sources AS (
   SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(CAST(floor(target * blocks / source_size + 0.5) AS BIGINT), 3 * blocks) END AS slots FROM aimed
+), spans AS (
+  SELECT sid, CAST(sum(slots) OVER (ORDER BY sid) AS BIGINT) AS hi, CAST(sum(slots) OVER (ORDER BY sid) - slots AS BIGINT) AS lo FROM sources WHERE slots > 0
+), draws AS (
+  SELECT CAST('0x' || substr(md5('0:' || CAST(s AS VARCHAR)), 1, 15) AS BIGINT) % total AS u
+  FROM (SELECT unnest(range(total)) AS s, total FROM (SELECT CAST(sum(slots) AS BIGINT) AS total FROM sources))
+), drawn AS (
+  SELECT sid, count(*) AS n FROM draws JOIN spans ON u >= lo AND u < hi GROUP BY sid
+), held AS (
+  SELECT s.sid, s.blocks, greatest(s.slots - CAST(floor(s.slots * {TOLERANCE}) AS BIGINT),
+         least(coalesce(d.n, 0), s.slots + CAST(floor(s.slots * {TOLERANCE}) AS BIGINT), 3 * s.blocks)) AS taken
+  FROM sources s LEFT JOIN drawn d ON d.sid = s.sid
 ), numbers AS (
-  SELECT sid, blocks, unnest(range(slots)) AS i FROM sources
+  SELECT sid, blocks, unnest(range(taken)) AS i FROM held
 ), used AS (
   SELECT sid, (i % blocks * ([{', '.join(map(str, PRIMES))}][1 + (sid + i // blocks) % 3] % blocks)
           + ((sid + 1) * 7919 + i // blocks * 104729) % blocks) % blocks AS block, count(*) AS uses
