@@ -1,91 +1,154 @@
 """Exact top-k inner products without random access.
 
 Vectors become integers and are packed into blocks of bounded size; the query
-set is packed likewise, and each pair of blocks is one row of an equi-join on
-(block, query block), so no task ever holds more than two blocks. Inside a
-pair every dimension is a sorted list of the block's components, read from
-the top for positive query weights and from the bottom for negative ones.
-Reading proceeds in rounds, all lists to the same depth: an entry not yet
-read lies between the list's end and the last value read, which bounds each
-score from both sides. Candidates whose upper bound is under the k-th lower
-bound drop out; when none but sure winners remain, or all is read, the
-survivors' scores are resolved exactly.
+set is packed likewise. Tiles, of a few blocks and a few query blocks, meet by
+an equi-join on their numbers, so no task holds more than two tile sides.
+
+Inside a block every dimension is a list of its components, sorted, and read
+from the top for a positive query weight, from the bottom for a negative one.
+A query's lists are taken up in the order of weight times spread, a few at a
+time. A list that is still to come bounds what it can add to any score by its
+first and last entry, so every candidate has a lower and an upper bound; the
+k-th lower bound, or k-th score in the blocks before, is the mark to reach. A
+list is read down to the entry under which not even the candidate of the
+highest bound could reach the mark; who stands below, or stays under the mark
+after the list, is out. Reading stops when hardly more than k candidates are
+left; their scores are then resolved exactly.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, QUERY_BLOCK = 2048, 2048
-#: Share of each list that is read by the end of a round.
-DEPTHS = (0.25, 0.6)
-LARGEST = float(2**31)
+#: Blocks on a side of a tile, if there are enough of them for TILES tiles.
+SIDE, TILES = 8, 64
+#: Lists that are read before the bounds are drawn again.
+BATCH = 4
+SMALL = 2.0**31
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 def _pack(key, table):
     import pyarrow as pa
 
     ids = table["vec_id"].to_numpy()
-    values = table["_v"].combine_chunks()
     dim = key[1].as_py()
-    flat = values.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
+    flat = table["_v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
+    flat = np.floor(256.0 * flat.astype(np.float64))
     order = np.lexsort([*flat.T[::-1], ids])
     ids, flat = ids[order], flat[order]
     one = np.append(True, ids[1:] != ids[:-1])  # one row for each id, that of the least vector
-    return pa.table({"_block": [key[0].as_py()], "_dim": [dim], "_ids": [ids[one].astype("<i8").tobytes()], "_vals": [flat[one].astype("<i4").tobytes()]})
+    small = bool((np.abs(flat) < SMALL).all())
+    raw = flat[one].astype("<i4" if small else "<f8").tobytes()
+    return pa.table({"_block": [key[0].as_py()], "_dim": [dim], "_ids": [ids[one].astype("<i8").tobytes()], "_vals": [raw], "_small": [small]})
+
+
+def _unpack(table, dim: int):
+    """(number, ids, vectors as integers in doubles) of each block, by number."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["_block"])
+    return [(r["_block"], np.frombuffer(r["_ids"], "<i8"), np.frombuffer(r["_vals"], "<i4" if r["_small"] else "<f8").reshape(-1, dim).astype(np.float64)) for r in rows]
 
 
 def _packed(rows: DataFrame, n: int, size: int) -> DataFrame:
     blocks = max(1, -(-n // size))
     keyed = rows.withColumn("_block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    return keyed.groupBy("_block", "_dim").applyInArrow(_pack, "_block long, _dim long, _ids binary, _vals binary")
-
-
-def bounded_top(queries: np.ndarray, q_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) of the k best of each query, as indices, ties to smaller ids; ids ascend and an equal id is no candidate."""
-    n, dim = vectors.shape
-    # Integers of magnitude up to 2^31 are exact in doubles as long as no sum passes 2^53.
-    exact = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * dim < 2**53
-    w, x = queries.astype(np.float64), vectors.astype(np.float64)
-    own = np.searchsorted(ids, q_ids)
-    has_own = (own < n) & (ids[np.minimum(own, n - 1)] == q_ids)
-    out = [[], [], []]
-    lists = np.sort(x, axis=0)
-    for lo in range(0, len(w), 512):
-        part = w[lo : lo + 512]
-        signed = np.concatenate([np.maximum(part, 0), np.minimum(part, 0)], 1)
-        own_q = np.flatnonzero(has_own[lo : lo + 512])
-        own_v = own[lo : lo + 512][own_q]
-        alive = np.ones((len(part), n), bool)
-        alive[own_q, own_v] = False
-        for depth in DEPTHS if n > 8 * k else ():
-            read = int(n * depth)
-            low, high = lists[read - 1], lists[n - read]  # the last values read from below and from above
-            upper = signed @ np.concatenate([np.maximum(x, high), np.minimum(x, low)], 1).T
-            lower = signed @ np.concatenate([np.where(x >= high, x, lists[0]), np.where(x <= low, x, lists[-1])], 1).T
-            lower[own_q, own_v] = -np.inf
-            sure = np.partition(lower, n - k, axis=1)[:, n - k]
-            slack = 0 if exact else np.abs(sure)[:, None] * 1e-9
-            alive &= upper >= sure[:, None] - slack
-            if alive.sum() <= 4 * k * len(part):
+    return keyed.groupBy("_block", "_dim").applyInArrow(_pack, "_block long, _dim long, _ids binary, _vals binary, _small boolean")
+
+
+def _held(mark: float) -> float:
+    """A mark beyond 64 bits, where scores are held, shuts nobody out who is held at the same end."""
+    return -math.inf if mark < LEAST else min(mark, float(MOST))
+
+
+class SortedLists:
+    """The vectors of a block as one sorted list for each dimension."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.columns = np.ascontiguousarray(vectors.T)
+        self.lists = np.sort(self.columns, axis=1)
+        self.low, self.high = (self.lists[:, 0], self.lists[:, -1]) if len(ids) else (np.zeros(len(self.lists)),) * 2
+        self.largest = float(np.abs(vectors).max(initial=0))
+        self.read = 0  # entries
+
+    def _entries(self, d: int, weight: float, cut: float) -> int:
+        """Entries of list d, from its best end, that add cut or more."""
+        n = len(self.ids)
+        if weight == 0 or not math.isfinite(cut):
+            return 0 if weight == 0 else n
+        if weight > 0:
+            return n - int(np.searchsorted(self.lists[d], cut / weight, "left"))
+        return int(np.searchsorted(self.lists[d], cut / weight, "right"))
+
+    def exact(self, w: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """Scores of the candidates, as integers; those beyond 64 bits are held at their ends."""
+        if len(w) * float(np.abs(w).max(initial=0)) * self.largest < 2.0**62:
+            return self.vectors[among].astype(np.int64) @ w.astype(np.int64)
+        whole = [int(a) for a in w]
+        found = [sum(a * int(b) for a, b in zip(whole, v, strict=True)) for v in self.vectors[among].tolist()]
+        return np.array([min(max(s, LEAST), MOST) for s in found], np.int64)
+
+    def top(self, w: np.ndarray, own: int, k: int, mark: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
+        """(index, score) of the k best candidates of the query w, whose own id is none, by falling score, ties to smaller ids.
+        Candidates of scores under mark may be left out."""
+        n, dim = self.vectors.shape
+        best, worst = np.where(w > 0, w * self.high, w * self.low), np.where(w > 0, w * self.low, w * self.high)
+        order = np.argsort(worst - best, kind="stable")
+        # What the lists still to come add at most and at least, after each number of lists.
+        most = np.append(np.cumsum(best[order][::-1])[::-1], 0.0)
+        least = np.append(np.cumsum(worst[order][::-1])[::-1], 0.0)
+        # Integers are exact in doubles as long as no sum passes 2^53.
+        bound = float(np.abs(w).sum()) * self.largest
+        slack = 0.0 if bound < 2.0**53 else bound * dim * 1e-15
+        at = np.searchsorted(self.ids, own)
+        alive = np.arange(n)
+        if at < n and self.ids[at] == own:
+            alive = np.delete(alive, at)
+        so_far = np.zeros(len(alive))
+        for first in range(0, dim, BATCH):
+            if len(alive) <= 4 * k:
                 break
-        if alive.sum() <= 0.05 * alive.size:
-            q, v = np.nonzero(alive)
-            score = np.einsum("ij,ij->i", queries[lo + q].astype(np.int64), vectors[v].astype(np.int64))
-        else:
-            full = part @ x.T if exact else queries[lo : lo + 512].astype(np.int64) @ vectors.T.astype(np.int64)
-            full = np.where(alive, full, -np.inf if exact else np.iinfo(np.int64).min)
-            kth = np.partition(full, n - k, axis=1)[:, n - k] if n > k else np.full(len(part), full.min())
-            q, v = np.nonzero((full >= kth[:, None]) & alive)
-            score = full[q, v].astype(np.int64)
-        order = np.lexsort([v, -score, q])
-        q, v, score = q[order], v[order], score[order]
-        nth = np.arange(len(q)) - np.searchsorted(q, q)
-        for a, b in zip(out, (lo + q, v, score), strict=True):
-            a.append(b[nth < k])
-    return tuple(np.concatenate(a) if a else np.zeros(0, np.int64) for a in out)
+            d = order[first : first + BATCH]
+            mark = _held(mark)
+            reach = so_far.max() + most[first]
+            for one in d.tolist():
+                self.read += self._entries(one, w[one], mark - slack - reach + best[one])
+            part = self.columns[d]
+            so_far = so_far + w[d] @ (part if len(alive) == n else part[:, alive])
+            done = min(first + BATCH, dim)
+            if len(alive) > k:
+                mark = max(mark, float(np.partition(so_far, len(alive) - k)[len(alive) - k]) + least[done])
+            stays = so_far + most[done] >= _held(mark) - slack
+            alive, so_far = alive[stays], so_far[stays]
+        score = self.exact(w, alive)
+        found = np.lexsort([self.ids[alive], ~score])[:k]  # ~ turns the order about, as - does, for every number
+        return alive[found], score[found]
+
+
+def top_of_blocks(blocks: list, queries: list, k: int) -> tuple[list, list, list, int, int]:
+    """(query ids, vector ids, scores) of the best k of each query in these blocks, and the entries read of those there are."""
+    out: tuple[list, list, list] = ([], [], [])
+    read = there = 0
+    lists = [SortedLists(x, ids) for _, ids, x in blocks]
+    for _, q_ids, weights in queries:
+        for own, w in zip(q_ids.tolist(), weights, strict=True):
+            best: list[tuple[int, int]] = []
+            for block in lists:
+                mark = float(-best[k - 1][0]) if len(best) >= k else -math.inf
+                # A mark that a double can't hold is lowered to one that it can.
+                found, score = block.top(w, own, k, mark if abs(mark) < 2.0**53 else mark - abs(mark) * 1e-15)
+                best = sorted(best + [(-s, i) for s, i in zip(score.tolist(), block.ids[found].tolist(), strict=True)])[:k]
+            out[0].extend([own] * len(best))
+            out[1].extend(i for _, i in best)
+            out[2].extend(-s for s, _ in best)
+        there += len(q_ids) * sum(x.vectors.size for x in lists)
+    read += sum(x.read for x in lists)
+    return *out, read, there
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -96,39 +159,37 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     inner product, ties go to the smaller id.
 
     Defined cases: rows with a null id, and vectors that are null, empty or
-    hold a null, non-finite or (at 2^31 and beyond after scaling) too large
-    component take no part; of rows sharing an id the one of the least
-    vector counts, so repeated rows count once; vectors of another length
-    than the query's aren't its candidates; with fewer than k candidates all
-    are returned; an empty table gives an empty result; other columns are
-    ignored.
+    hold a null or non-finite component (or one that is not finite after
+    scaling) take no part; scores are exact integers, and those beyond 64
+    bits count as the largest or least number of 64 bits; of rows sharing an
+    id the one of the least vector counts, so repeated rows count once;
+    vectors of another length than the query's aren't its candidates; with
+    fewer than k candidates all are returned; an empty table gives an empty
+    result; other columns are ignored.
     """
-    whole = F.transform(F.col(vector_col), lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("int"))
-    fine = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(256.0) * x.cast("double")) < LARGEST))
+    fine = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(F.lit(256.0) * x.cast("double")) < float("inf")))
     usable = F.col(id_col).isNotNull() & (F.size(vector_col) > 0) & fine
-    rows = vectors.where(usable).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("_v"), F.size(vector_col).cast("long").alias("_dim"))
+    narrow = F.col(vector_col) if "float" in dict(vectors.dtypes)[vector_col] else F.col(vector_col).cast("array<double>")
+    rows = vectors.where(usable).select(F.col(id_col).cast("long").alias("vec_id"), narrow.alias("_v"), F.size(vector_col).cast("long").alias("_dim"))
     asked = rows.where(F.col("vec_id") % every == 0)
     n, n_asked = vectors.count(), vectors.where(F.col(id_col) % every == 0).count()
-    blocks = _packed(rows, n, BLOCK)
-    asks = _packed(asked, n_asked, QUERY_BLOCK).select(F.col("_block").alias("_ask"), "_dim", F.col("_ids").alias("_q_ids"), F.col("_vals").alias("_q_vals"))
     n_blocks, n_asks = max(1, -(-n // BLOCK)), max(1, -(-n_asked // QUERY_BLOCK))
-    left = blocks.withColumn("_ask", F.explode(F.expr(f"sequence(0L, {n_asks - 1}L)")))
-    right = asks.withColumn("_block", F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)")))
-    pairs = left.join(right, ["_block", "_ask", "_dim"]).select("_dim", "_ids", "_vals", "_q_ids", "_q_vals")
+    side = max(1, min(SIDE, math.isqrt(n_blocks * n_asks // TILES)))
+    tile = F.expr(f"_block div {side}L")
+    left = _packed(rows, n, BLOCK).withColumn("_tile", tile).withColumn("_ask", F.explode(F.expr(f"sequence(0L, {(n_asks - 1) // side}L)")))
+    right = _packed(asked, n_asked, QUERY_BLOCK).withColumn("_ask", tile).withColumn("_tile", F.explode(F.expr(f"sequence(0L, {(n_blocks - 1) // side}L)")))
 
-    def run(batches):
+    def search(blocks, asks):
         import pyarrow as pa
 
-        for batch in batches:
-            for r in range(batch.num_rows):
-                dim, ids, vals, q_ids, q_vals = (batch.column(c)[r] for c in range(5))
-                d = dim.as_py()
-                ids, q_ids = np.frombuffer(ids.as_buffer(), "<i8"), np.frombuffer(q_ids.as_buffer(), "<i8")
-                x, w = np.frombuffer(vals.as_buffer(), "<i4").reshape(-1, d), np.frombuffer(q_vals.as_buffer(), "<i4").reshape(-1, d)
-                q, v, score = bounded_top(w, q_ids, x, ids, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[q]), pa.array(ids[v]), pa.array(score)], names=["query_id", "vec_id", "score"])
+        if not blocks.num_rows or not asks.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
+        dim = blocks["_dim"][0].as_py()
+        q, v, score, _, _ = top_of_blocks(_unpack(blocks, dim), _unpack(asks, dim), k)
+        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(score, pa.int64())})
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    on = ["_tile", "_ask", "_dim"]
+    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInArrow(search, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
