@@ -13,11 +13,14 @@ shorter one wins. Nothing is shuffled.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridcheck.llm.common import free_name
+
 # Known sentences of public licence texts and notices, normalised
 # as normal() does it, with the identifier that rules use.
 SENTENCES = {
@@ -63,16 +66,91 @@ SENTENCES = {
     "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl-2-copy",
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved": "reserved",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license": "apache-2-notice",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl-2-grant",
+    "if not see https www gnu org licenses": "gnu-address",
+    "if not see http www gnu org licenses": "gnu-address",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl-21-plus-grant",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-plus-grant",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-plus-grant",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-warranty",
+    "see the gnu lesser general public license for more details": "lgpl-see",
+    "you should have received a copy of the gnu lesser general public license along with this library": "lgpl-copy",
+    "you should have received a copy of the gnu lesser general public license along with this program": "lgpl-copy",
+    "you should have received a copy of the gnu lesser general public license along with this library if not write to the free software foundation inc 51 franklin street fifth floor boston ma 02110 1301 usa": "lgpl-copy",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl-3-plus-grant",
+    "see the gnu affero general public license for more details": "agpl-see",
+    "you should have received a copy of the gnu affero general public license along with this program": "agpl-copy",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage": "bsd-liability",
+    "isc license": "isc-title",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-warranty",
+    "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software": "isc-liability",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib-liability",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "the origin of this software must not be misrepresented you must not claim that you wrote the original software": "zlib-origin",
+    "if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required": "zlib-thanks",
+    "altered source versions must be plainly marked as such and must not be misrepresented as being the original software": "zlib-altered",
+    "this notice may not be removed or altered from any source distribution": "zlib-notice",
+    "distributed under the boost software license version 1 0": "bsl-ref",
+    "boost software license version 1 0 august 17th 2003": "bsl-title",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "bsl-grant",
+    "the copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies of the software in whole or in part and all derivative works of the software unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor": "bsl-notice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose title and non infringement": "bsl-warranty",
+    "in no event shall the copyright holders or anyone distributing the software be liable for any damages or other liability whether in contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "bsl-liability",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl-2-ref",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at http www eclipse org legal epl 2 0": "epl-2-ref",
+    "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work": "cc0-waiver",
+    "cc0 1 0 universal": "cc0-title",
+    "the contents of this file are subject to the terms of the common development and distribution license the license": "cddl-ref",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-grant",
 }
+# SPDX names of which notices are made by rule: "SPDX-License-Identifier: NAME", "licensed under the NAME license", "licensed under NAME".
+SPDX = """MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC 0BSD Zlib BSL-1.0 MPL-2.0 EPL-2.0 CDDL-1.0 Unlicense CC0-1.0
+GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later
+AGPL-3.0-only AGPL-3.0-or-later CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0""".split()
+for _name in SPDX:
+    _words = " ".join(_name.lower().replace("-", " ").replace(".", " ").split())
+    for _notice in (f"spdx license identifier {_words}", f"licensed under the {_words} license", f"licensed under {_words}"):
+        SENTENCES.setdefault(_notice, f"{_name.lower().replace('.', '-')}-name")
 # Rules in the order in which they are tried.
 RULES = [
     ("MIT", ("mit-title", "mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty", "mit-liability")),
     ("MIT", ("mit-ref",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty", "bsd-liability")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty", "bsd-liability")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")),
     ("Apache-2.0", ("apache-2-ref", "apache-2-use", "apache-2-copy", "apache-2-warranty", "apache-2-see")),
+    ("Apache-2.0", ("apache-2-notice", "apache-2-copy", "apache-2-warranty", "apache-2-see")),
+    ("Apache-2.0", ("apache-2-notice",)),
     ("Apache-2.0", ("apache-2-ref",)),
+    ("GPL-3.0-or-later", ("gpl-3-plus-grant", "gpl-warranty", "gpl-see", "gpl-copy", "gnu-address")),
+    ("GPL-2.0-or-later", ("gpl-2-plus-grant", "gpl-warranty", "gpl-see", "gpl-copy", "gnu-address")),
+    ("LGPL-2.1-or-later", ("lgpl-21-plus-grant", "gpl-warranty", "lgpl-see", "lgpl-copy")),
+    ("LGPL-2.1-or-later", ("lgpl-21-plus-grant",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-plus-grant", "gpl-warranty", "lgpl-see", "lgpl-copy", "gnu-address")),
+    ("LGPL-3.0-or-later", ("lgpl-3-plus-grant", "gpl-warranty", "lgpl-see", "lgpl-copy")),
+    ("LGPL-3.0-or-later", ("lgpl-3-plus-grant",)),
+    ("AGPL-3.0-or-later", ("agpl-3-plus-grant", "gpl-warranty", "agpl-see", "agpl-copy", "gnu-address")),
+    ("AGPL-3.0-or-later", ("agpl-3-plus-grant", "gpl-warranty", "agpl-see", "agpl-copy")),
+    ("AGPL-3.0-or-later", ("agpl-3-plus-grant",)),
+    ("ISC", ("isc-title", "isc-grant", "isc-warranty", "isc-liability")),
+    ("ISC", ("isc-grant", "isc-warranty", "isc-liability")),
+    ("0BSD", ("0bsd-grant", "isc-warranty", "isc-liability")),
+    ("Zlib", ("zlib-warranty", "zlib-liability", "zlib-grant", "zlib-origin", "zlib-thanks", "zlib-altered", "zlib-notice")),
+    ("BSL-1.0", ("bsl-title", "bsl-grant", "bsl-notice", "bsl-warranty", "bsl-liability")),
+    ("BSL-1.0", ("bsl-ref",)),
+    ("EPL-2.0", ("epl-2-ref",)),
+    ("CDDL-1.0", ("cddl-ref", "apache-2-use")),
+    ("CDDL-1.0", ("cddl-ref",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("CC0-1.0", ("cc0-waiver",)),
+    ("GPL-2.0-only", ("gpl-2-grant", "gpl-warranty", "gpl-see", "gpl-copy")),
+    ("GPL-2.0-only", ("gpl-2-grant",)),
     ("GPL-3.0-or-later", ("gpl-3-plus-grant", "gpl-warranty", "gpl-see", "gpl-copy")),
     ("GPL-3.0-or-later", ("gpl-3-plus-grant",)),
     ("GPL-3.0-or-later", ("gpl-3-plus-ref",)),
@@ -85,11 +163,27 @@ RULES = [
     ("CC-BY-4.0", ("cc-by-4-ref",)),
     ("MPL-2.0", ("mpl-2-ref", "mpl-2-copy")),
     ("MPL-2.0", ("mpl-2-ref",)),
+    ("Unlicense", ("unlicense", "unlicense-grant")),
     ("Unlicense", ("unlicense",)),
     ("All-Rights-Reserved", ("reserved",)),
 ]
-#: Every known sentence holds one of these words; texts without any need no normalising.
-HINT = "(?i)licen|permi|software|redistribut|rights|warrant|mozilla"
+RULES += [(n, (f"{n.lower().replace('.', '-')}-name",)) for n in SPDX if f"{n.lower().replace('.', '-')}-name" in SENTENCES.values()]
+
+
+def _hints(sentences) -> list[str]:
+    """Words of at least six letters, or the longest of a sentence, one of which every sentence holds: the most frequent first."""
+    left, found = [s.split() for s in sentences], []
+    long = lambda s: [w for w in s if len(w) >= 6] or [max(s, key=len)]
+    while left:
+        count = Counter(w for s in left for w in set(long(s)))
+        best = min(count, key=lambda w: (-count[w], w))
+        found.append(best)
+        left = [s for s in left if best not in s]
+    return found
+
+
+#: Texts without any of these words hold no known sentence and need no normalising.
+HINT = "(?i)" + "|".join(_hints(SENTENCES))
 #: Marks for the end of a sentence and for a line end that may be within one.
 STOP, LINE = "\x01", "\x02"
 #: A known sentence between marks, the longest first.
@@ -127,12 +221,13 @@ def scan(docs: DataFrame) -> DataFrame:
     result; other columns pass through, and clashing ones are replaced.
     """
     new = ["n_known", "sentence_ids", "licences", "leftover"]
-    kept = [c for c in docs.columns if c not in new]
+    kept = [c for c in docs.columns if c.lower() not in new]
     known = F.create_map(*[F.lit(x) for x in chain.from_iterable(SENTENCES.items())])
     found = F.regexp_extract_all(normal(F.col("text")), F.lit(KNOWN), F.lit(0))
     ids = F.transform(found, lambda s: F.element_at(known, F.translate(s, LINE, " ")))
-    rows = docs.select(*kept, F.when(F.col("text").rlike(HINT), ids).otherwise(F.array().cast("array<string>")).alias("_ids"))
-    rows = rows.withColumn("_ids", F.coalesce("_ids", F.array().cast("array<string>")))
+    ids_, state_ = free_name(docs, "_ids", "_state")
+    none = F.array().cast("array<string>")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.when(F.col("text").rlike(HINT), ids), none).alias(ids_))
     used = lambda state, rule: F.struct(
         F.replace(state["left"], rule["run"], F.lit(";;")).alias("left"),
         F.when(F.contains(state["left"], rule["run"]), F.array_append(state["found"], rule["name"])).otherwise(state["found"]).alias("found"),
@@ -140,16 +235,16 @@ def scan(docs: DataFrame) -> DataFrame:
     rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(_run(r)).alias("run")) for n, r in RULES])
     # Each identifier has a mark on both sides, so that runs match whole identifiers only.
     first = F.struct(
-        F.array_join(F.transform("_ids", lambda i: F.concat(F.lit(";"), i, F.lit(";"))), "").alias("left"),
-        F.array().cast("array<string>").alias("found"),
+        F.array_join(F.transform(ids_, lambda i: F.concat(F.lit(";"), i, F.lit(";"))), "").alias("left"),
+        none.alias("found"),
     )
-    rows = rows.withColumn("_state", F.when(F.size("_ids") > 0, F.aggregate(rules, first, used)))
-    rest = F.trim(F.regexp_replace("_state.left", ";+", " "))
+    rows = rows.withColumn(state_, F.when(F.size(ids_) > 0, F.aggregate(rules, first, used)))
+    rest = F.trim(F.regexp_replace(F.col(state_)["left"], ";+", " "))
     return rows.select(
-        *kept,
-        F.size("_ids").cast("long").alias("n_known"),
-        F.array_join("_ids", ";").alias("sentence_ids"),
-        F.coalesce(F.array_join(F.array_distinct("_state.found"), ";"), F.lit("")).alias("licences"),
+        *[F.col(f"`{c}`") for c in kept],
+        F.size(ids_).cast("long").alias("n_known"),
+        F.array_join(ids_, ";").alias("sentence_ids"),
+        F.coalesce(F.array_join(F.array_distinct(F.col(state_)["found"]), ";"), F.lit("")).alias("licences"),
         F.coalesce(F.replace(rest, F.lit(" "), F.lit(";")), F.lit("")).alias("leftover"),
     )
 
