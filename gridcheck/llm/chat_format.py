@@ -35,17 +35,16 @@ def perspectives(turns: DataFrame, part: int = PART) -> DataFrame:
     rows equal in all four columns are one turn; a null or empty text is an
     empty turn; a null role speaks as an unnamed user and, like the system,
     takes no perspective; turns of a null number make a part of their own,
-    whose number is null and which comes first; rows of a null conv_id belong
-    to no dialogue and are left out; a dialogue without participants gives no
+    whose number is null and which comes first; rows of a null conv_id are
+    one dialogue; a dialogue without participants gives no
     row, and one who is silent in a part has no target spans there; an empty
     table gives an empty result; other columns are ignored.
     """
-    known = turns.where("conv_id IS NOT NULL")
     number = F.floor(F.col("turn") / part)
-    rows = known.select("conv_id", number.alias("part"), F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")).alias("_t"))
+    rows = turns.select("conv_id", number.alias("part"), F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")).alias("_t"))
     # Dialogues of several parts, told apart without their texts: each part is to know the speakers of all.
     speaks = F.when(F.col("role") != SYSTEM, F.col("role"))
-    dialogues = known.groupBy("conv_id").agg(F.collect_set(F.struct(number.alias("part"))).alias("_parts"), F.collect_set(speaks).alias("_all"))
+    dialogues = turns.groupBy("conv_id").agg(F.collect_set(F.struct(number.alias("part"))).alias("_parts"), F.collect_set(speaks).alias("_all"))
     several = dialogues.where(F.size("_parts") > 1).select("conv_id", F.explode("_parts.part").alias("part"), F.lit(None).cast(rows.schema["_t"].dataType).alias("_t"), "_all")
     parts = (
         rows.withColumn("_all", F.lit(None).cast("array<string>"))
@@ -85,15 +84,17 @@ def perspectives(turns: DataFrame, part: int = PART) -> DataFrame:
 
 SQL = f"""
 WITH t AS (
-  SELECT DISTINCT conv_id, turn // {PART} AS part, turn, role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  SELECT DISTINCT conv_id, turn // {PART} AS part, turn, role, coalesce(text, '') AS text FROM conversations
 ), s AS (
-  SELECT DISTINCT conv_id, part, role AS speaker FROM t WHERE role <> '{SYSTEM}'
+  SELECT a.conv_id, a.part, b.speaker
+  FROM (SELECT DISTINCT conv_id, part FROM t) a
+  JOIN (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> '{SYSTEM}') b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
 ), p AS (
   SELECT s.conv_id, s.part, s.speaker, t.turn, t.role, t.text AS raw, coalesce(t.role = s.speaker, false) AS mine,
          CASE WHEN t.role = '{SYSTEM}' THEN '<|system|>' WHEN t.role = s.speaker THEN '<|assistant|>'
               ELSE '<|user:' || coalesce(url_encode(t.role), '') || '|>' END || chr(10) AS head,
          replace(t.text, '<|', '<||') || '{END}' AS body
-  FROM s JOIN t ON t.conv_id = s.conv_id AND t.part IS NOT DISTINCT FROM s.part
+  FROM s JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.part IS NOT DISTINCT FROM s.part
 ), q AS (
   SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, raw
             ROWS UNBOUNDED PRECEDING) - length(body) - 1 AS first
@@ -101,8 +102,8 @@ WITH t AS (
 )
 SELECT conv_id, CAST(part AS BIGINT) AS part, speaker, count(*) AS n_turns, CAST(sum(CAST(mine AS INTEGER)) AS BIGINT) AS n_targets,
        string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) AS text,
-       string_agg(CAST(CAST(first AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(first + length(body) AS BIGINT) AS VARCHAR), ' '
-                  ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) FILTER (WHERE mine) AS target_spans,
-       CAST(sum(length(body)) FILTER (WHERE mine) AS BIGINT) AS target_chars
+       coalesce(string_agg(CAST(CAST(first AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(first + length(body) AS BIGINT) AS VARCHAR), ' '
+                  ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) FILTER (WHERE mine), '') AS target_spans,
+       CAST(coalesce(sum(length(body)) FILTER (WHERE mine), 0) AS BIGINT) AS target_chars
 FROM q GROUP BY conv_id, part, speaker
 """
