@@ -37,6 +37,38 @@ def free_name(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def shielded(docs: DataFrame, names, operator) -> DataFrame:
+    """operator(docs) with the columns of docs alone, for an operator that
+    adds columns of these names: columns of docs with such a name bear another
+    meanwhile, so that their own values come back."""
+    taken = {n.lower() for n in names}
+    clash = [c for c in docs.columns if c.lower() in taken]
+    aside = dict(zip(clash, free_name(docs, *[f"_own_{c}" for c in clash]), strict=True))
+    out = operator(docs.withColumnsRenamed(aside))
+    return out.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
+
+
+#: Buckets by which first_rows() finds how far down the order it must read.
+RANKED = 1 << 12
+
+
+def first_rows(rows: DataFrame, key: str, late: Column, hashed: Column, n: int) -> DataFrame:
+    """rows, narrowed to those that can be among the first n of their key in
+    the order (late, hashed): late is a boolean, false first, hashed a 64-bit
+    hash. Rows are counted by key and leading bits of the hash with partial
+    sums, so that about n rows a key are left to rank, or one in RANKED of
+    them, however large a key is."""
+    lead = RANKED.bit_length() - 1
+    bucket = F.shiftright(hashed, 64 - lead).cast("int") + F.lit(RANKED // 2) + F.when(late, RANKED).otherwise(0)
+    placed = rows.withColumn("_at", bucket)
+    counts = placed.groupBy(key, "_at").agg(F.count(F.lit(1)).alias("_n"))
+    none = F.struct(F.lit(0).cast("long").alias("ahead"), F.lit(-1).alias("last"))
+    further = lambda s, c: F.when(s["ahead"] < n, F.struct((s["ahead"] + c["_n"]).alias("ahead"), c["_at"].alias("last"))).otherwise(s)
+    reach = counts.groupBy(key).agg(F.collect_list(F.struct("_at", "_n")).alias("_c"))
+    reach = reach.select(key, F.aggregate(F.array_sort("_c"), none, further)["last"].alias("_last"))
+    return placed.join(reach, key).where("_at <= _last").drop("_at", "_last")
+
+
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Arrow batches of whole texts are held in the JVM and in Python at once; at most so many rows go into one."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -66,19 +98,20 @@ def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str =
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
     from gridcheck.llm.wordhash import slices
 
     clash = {n.lower() for n, _ in fields} | {d.lower() for d in drop}
     keep = [c for c in docs.columns if c.lower() not in clash]
     own = text in keep and dict(docs.dtypes)[text] == "string"
-    columns = [F.col(f"`{c}`") for c in keep]
+    # Under plain numbers, as mapInArrow() can't take every name.
+    columns = [F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)]
     if not own:
-        columns.append(F.col(text).cast("string").alias(free_name(docs, "_text")[0]))
+        columns.append(F.col(text).cast("string").alias(f"_{len(keep)}"))
     source = docs.select(*columns)
     n, at = len(keep), keep.index(text) if own else len(keep)
-    schema = StructType(list(source.schema.fields[:n]))
+    schema = StructType([StructField(c, docs.schema[c].dataType, docs.schema[c].nullable) for c in keep])
     for name, kind in fields:
         schema = schema.add(name, _parse_datatype_string(kind))
 

@@ -6,7 +6,10 @@ each the longest match with the labelled text from where the last one ended;
 the language that needs the fewest phrases, normalised by the length of the
 text and of the labelled text, wins. All texts of a chunk advance together:
 they are cut into segments, and one table lookup per symbol follows the
-automaton of one language for every segment at once.
+automaton of one language for every segment at once, as if a phrase began
+there. The state in which the segment before ended is then followed over the
+border until it meets the state that was followed from there, which it does
+after a few symbols; from then on both parses are one.
 """
 
 from __future__ import annotations
@@ -17,11 +20,11 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import map_texts
+from gridcheck.llm.common import first_rows, map_texts
 
 #: Bounds of the labelled sample for each language: documents, characters of each, symbols in all.
 SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_SYMBOLS = 48, 4000, 16_000
-#: A phrase ends where a segment ends; a multiple of this many symbols into the text.
+#: Symbols of a text that are parsed side by side with the others; phrases run on over the borders.
 SEGMENT = 512
 UNKNOWN = "und"
 
@@ -135,16 +138,45 @@ class Parser:
         code = np.append(self._numbers(raw), np.zeros(SEGMENT, np.int32))
         columns = np.ascontiguousarray(code[start[None, :] + np.arange(length[0])[:, None]])
         live = np.searchsorted(-length, -np.arange(1, length[0] + 1), side="right")
+        # The segment before each one in its text, or -1.
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        before = np.where(nth[order] > 0, rank[order - 1], -1)
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(owner), np.int32)
+            states = np.zeros((length[0] + 1, len(owner)), np.int32)
             count = np.zeros(len(owner), np.int32)
             for t, n in enumerate(live):
-                step = table.take(state[:n] + columns[t, :n])
+                step = table.take(states[t, :n] + columns[t, :n])
                 count[:n] += step & 1
-                np.right_shift(step, 1, out=state[:n])
+                np.right_shift(step, 1, out=states[t + 1, :n])
+            self._join_segments(table, states, columns, length, before, count)
             out[:, k] = np.bincount(owner, weights=count, minlength=len(sizes))
         return out
 
+    @staticmethod
+    def _join_segments(table, states, columns, length, before, count) -> None:
+        """Correct states and count, of segments that were parsed from state 0, for the states in which the segments before them end."""
+        todo = np.flatnonzero(before >= 0)
+        while len(todo):
+            came = states[length[before[todo]], before[todo]]
+            todo, came = todo[came != states[0, todo]], came[came != states[0, todo]]
+            ended = states[length[todo], todo].copy()
+            at, state, t = todo, came, 0
+            while len(at):
+                old, new = table.take(states[t, at] + columns[t, at]), table.take(state + columns[t, at])
+                count[at] += (new & 1) - (old & 1)
+                states[t, at] = state
+                state, t = new >> 1, t + 1
+                apart = state != states[t, at]
+                last = apart & (t == length[at])
+                states[t, at[last]] = state[last]
+                apart &= ~last
+                at, state = at[apart], state[apart]
+            # A segment that the new state changed to its end passes another state on.
+            moved = np.zeros(len(length), bool)
+            moved[todo[states[length[todo], todo] != ended]] = True
+            todo = np.flatnonzero((before >= 0) & moved[before])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language of each text and a score: its share of the inverse entropies, 0 where there is no letter."""
         raw, sizes, n_letters = symbols(texts)
@@ -168,10 +200,10 @@ def train(docs: DataFrame, held_out_remainder: int = 2) -> Parser:
     another; from each a stretch of at most SAMPLE_CHARS characters."""
     known = docs.where(F.col("lang").isNotNull() & (remainder() != held_out_remainder) & (F.length("text") > 0))
     # Documents of ordinary length come first; ids alone are sorted.
-    order = [(F.length("text") < 200).cast("int"), F.xxhash64("doc_id", F.lit("sample")), F.col("doc_id")]
-    ids = known.select("doc_id", "lang", *[c.alias(f"_o{k}") for k, c in enumerate(order)])
-    first = Window.partitionBy("lang").orderBy(*[f"_o{k}" for k in range(len(order))])
-    chosen = ids.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= SAMPLE_DOCS)
+    ids = known.select("doc_id", "lang", (F.length("text") < 200).alias("_short"), F.xxhash64("doc_id", F.lit("sample")).alias("_hash"))
+    first = Window.partitionBy("lang").orderBy("_short", "_hash", "doc_id")
+    likely = first_rows(ids, "lang", F.col("_short"), F.col("_hash"), SAMPLE_DOCS)
+    chosen = likely.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= SAMPLE_DOCS)
     nth = {(r["doc_id"], r["lang"]): r["_nth"] for r in chosen.select("doc_id", "lang", "_nth").collect()}
     if not nth:
         return Parser.fit({})

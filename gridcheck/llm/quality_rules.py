@@ -15,11 +15,11 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import map_texts
+from gridcheck.llm.common import first_rows, map_texts
 from gridcheck.llm.wordhash import IS_SPACE, Texts, mix, windows
 
-#: Bounds of the training sample: documents of either quality, characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
+#: Bounds of the training sample: documents of either quality, characters and lines of each.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LINES = 300, 20_000, 1000
 MIN_WORDS, MAX_REPEATED_PERCENT, MIN_CONTENT = 10, 20, 0.5
 REPEAT_WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
@@ -189,58 +189,71 @@ def fit(features: np.ndarray, per_text: np.ndarray, good: np.ndarray, steps: int
     line_good = np.repeat(good, per_text)
     plain = _logistic(features, line_good)
     label = line_good | (features @ plain > 0)
-    # Padded to the longest text: x[text, line, feature], with y and the mask.
-    n, width = len(per_text), int(per_text.max())
-    mask = np.arange(width) < per_text[:, None]
-    x = np.zeros((n, width, features.shape[1]))
-    x[mask] = features
-    y = np.zeros((n, width), bool)
-    y[mask] = label
+    # Texts advance together, line by line, the longest first; all lines lie in flat arrays, nothing is padded.
+    order = np.argsort(-per_text, kind="stable")
+    size, first = per_text[order], (np.cumsum(per_text) - per_text)[order]
+    live = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")
+    inner = np.ones(len(label), bool)  # lines with another of their text after them
+    inner[first + size - 1] = False
+    at = np.flatnonzero(inner)
+    counted = np.bincount(2 * label[at] + label[at + 1], minlength=4).reshape(2, 2)
     w, m = plain.copy(), np.zeros((2, 2))
     moved_w, moved_m, seen_w, seen_m = np.zeros_like(w), np.zeros_like(m), np.zeros_like(w), np.zeros_like(m)
-    pair = mask[:, 1:]
-    counted = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & pair).sum() for b in (0, 1)] for a in (0, 1)])
+    owner = np.repeat(np.arange(len(per_text)), per_text)
+    node, alpha, beta = (np.zeros((len(label), 2)) for _ in range(3))
     for step in range(1, steps + 1):
-        node = np.zeros((n, width, 2))
-        node[..., 1] = x @ w
-        alpha, beta = np.zeros((n, width, 2)), np.zeros((n, width, 2))
-        alpha[:, 0] = node[:, 0]
-        for t in range(1, width):
-            alpha[:, t] = node[:, t] + np.logaddexp(alpha[:, t - 1, :1] + m[0], alpha[:, t - 1, 1:] + m[1])
-        for t in range(width - 2, -1, -1):
-            right = node[:, t + 1] + beta[:, t + 1]
-            new = np.logaddexp(right[:, :1] + m[:, 0], right[:, 1:] + m[:, 1])
-            beta[:, t] = np.where(mask[:, t + 1, None], new, 0)
-        z = np.logaddexp(*np.moveaxis(alpha[np.arange(n), per_text - 1], -1, 0))
-        p1 = np.exp(np.minimum(alpha[..., 1] + beta[..., 1] - z[:, None], 0)) * mask
-        joint = alpha[:, :-1, :, None] + m + (node + beta)[:, 1:, None, :] - z[:, None, None, None]
-        expected = (np.exp(np.minimum(joint, 0)) * pair[..., None, None]).sum((0, 1))
-        g_w = (x * ((p1 - y) * mask)[..., None]).sum((0, 1)) / mask.sum() + 1e-4 * w
-        g_m = (expected - counted) / mask.sum() + 1e-3 * m
-        for value, g, first, second in ((w, g_w, moved_w, seen_w), (m, g_m, moved_m, seen_m)):
-            first += 0.1 * (g - first)
+        node[:, 1] = features @ w
+        alpha[first] = node[first]
+        for t, k in enumerate(live[1:], 1):
+            here = first[:k] + t
+            alpha[here] = node[here] + np.logaddexp(alpha[here - 1, :1] + m[0], alpha[here - 1, 1:] + m[1])
+        beta[first + size - 1] = 0
+        for t in range(len(live) - 2, -1, -1):
+            here = first[: live[t + 1]] + t
+            right = node[here + 1] + beta[here + 1]
+            beta[here] = np.logaddexp(right[:, :1] + m[:, 0], right[:, 1:] + m[:, 1])
+        end = np.cumsum(per_text) - 1
+        z = np.logaddexp(alpha[end, 0], alpha[end, 1])[owner]
+        p1 = np.exp(np.minimum(alpha[:, 1] + beta[:, 1] - z, 0))
+        joint = alpha[at][:, :, None] + m + (node + beta)[at + 1][:, None, :] - z[at][:, None, None]
+        expected = np.exp(np.minimum(joint, 0)).sum(0)
+        g_w = features.T @ (p1 - label) / len(label) + 1e-4 * w
+        g_m = (expected - counted) / len(label) + 1e-3 * m
+        for value, g, first_, second in ((w, g_w, moved_w, seen_w), (m, g_m, moved_m, seen_m)):
+            first_ += 0.1 * (g - first_)
             second += 0.01 * (g * g - second)
-            value -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+            value -= 0.1 * (first_ / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return ChainCRF(w, m)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS) -> ChainCRF:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS, max_lines: int = SAMPLE_LINES) -> ChainCRF:
     """fit() on at most per_class documents of either quality, those of the
-    lowest hash of doc_id among the ones of at most max_chars characters."""
+    lowest hash of doc_id among the ones of at most max_chars characters and
+    max_lines lines.
+
+    Defined cases: without labels, or with labels of one quality only, the
+    CRF marks every line content; of several labels of a document the least
+    counts, of several texts of a doc_id the least; labels other than 0 and
+    1, null doc_ids and null texts aren't learnt from; of documents whose
+    hashes are equal the lower doc_id comes first.
+    """
     import pyarrow as pa
 
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sized = docs.where((F.length("text") <= max_chars) & F.col("doc_id").isNotNull()).select("doc_id")
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.join(sized.distinct(), "doc_id").withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_class)
+    fits = (F.length("text") <= max_chars) & (F.regexp_count("text", F.lit("\n")) < max_lines) & F.col("doc_id").isNotNull()
+    sized = docs.where(fits).select("doc_id")
+    hashed = F.xxhash64("doc_id")
+    order = Window.partitionBy("quality").orderBy(hashed, "doc_id")
+    likely = first_rows(known.join(sized.distinct(), "doc_id"), "quality", F.lit(False), hashed, per_class)
+    chosen = likely.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_class)
     ids = {r["doc_id"]: r["quality"] for r in chosen.select("doc_id", "quality").collect()}  # 2 * per_class at most
     if not ids:
         return fit(np.zeros((0, N_FEATURES)), np.zeros(0, np.int64), np.zeros(0, bool))
-    short = docs.where(F.col("doc_id").isin(list(ids)) & (F.length("text") <= max_chars))
-    one_each = short.groupBy("doc_id").agg(F.min("text").alias("text"))
+    one_each = docs.where(F.col("doc_id").isin(list(ids)) & fits).groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = sorted((r["doc_id"], r["text"]) for r in one_each.collect())
     lines = describe(Texts(pa.array([t for _, t in rows], pa.large_string())))
-    return fit(lines.features, lines.per_text, np.array([ids[i] == 1 for i, _ in rows]))
+    crf = fit(lines.features, lines.per_text, np.array([ids[i] == 1 for i, _ in rows]))
+    return crf
 
 
 FIELDS = [(k, "long") for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [
