@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import bounded_batches, checkpointed, map_texts, small, trim
+from gridcheck.llm.common import bounded_batches, checkpointed, free_name, map_texts, small, trim
 from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, slices, windows
 
 SHINGLE, PERCENT = 5, 75
@@ -162,7 +162,7 @@ def _sets(ids, column) -> dict:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, a_fp, b, b_fp), distinct, those (a, b) whose full sets agree."""
+    """Of pairs (a, a_fp, b, b_fp), distinct, those whose full sets agree."""
     ends = pairs.select(F.col("a").alias("_id"), F.col("a_fp").alias("_f")).union(pairs.select("b", "b_fp")).distinct()
     texts = _texts(ends, docs)
     left = texts.select(F.col("_id").alias("a"), F.col("_f").alias("a_fp"), F.col("_text").alias("_a_text"))
@@ -184,23 +184,23 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Data
                     both_ = common_shingles(x, y)
                     if 100 * both_ >= percent * (len(x) + len(y) - both_) and len(x):
                         keep.append(k)
-                yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.int64()), pa.array([b[k] for k in keep], pa.int64())], names=["a", "b"])
+                yield batch.select([0, 2, 1, 3]).take(pa.array(keep, pa.int64()))
         trim()
 
     bounded_batches(docs.sparkSession)
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, a_fp long, b long, b_fp long")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of links (a, b): label is the least node reachable."""
-    ways = checkpointed(links.union(links.select("b", "a")).toDF("_to", "_from").distinct())
+    """(node, label) for every node of links (a, a_fp, b, b_fp), as pairs of doc_id and hash: label is the least node reachable."""
+    ends = links.select(F.struct(F.col("a").alias("id"), F.col("a_fp").alias("fp")).alias("_to"), F.struct(F.col("b").alias("id"), F.col("b_fp").alias("fp")).alias("_from"))
+    ways = checkpointed(ends.union(ends.select("_from", "_to")).distinct())
     labels = checkpointed(ways.groupBy("_from").agg(F.least(F.col("_from"), F.min("_to")).alias("label")).withColumnRenamed("_from", "node"))
     while True:
         heard = ways.join(labels, ways["_from"] == labels["node"]).select(F.col("_to").alias("node"), "label")
         least = checkpointed(labels.union(heard).groupBy("node").agg(F.min("label").alias("label")))
-        onward = least.select(F.col("node").alias("label"), F.col("label").alias("_next"))
-        jumped = least.join(onward, "label").select("node", F.col("_next").alias("label"))
-        new = checkpointed(jumped)
+        onward = least.select(F.col("node").alias("_at"), F.col("label").alias("_next"))
+        new = checkpointed(least.join(onward, least["label"] == onward["_at"]).select("node", F.col("_next").alias("label")))
         moved = new.join(labels.withColumnRenamed("label", "_old"), "node").where("label <> _old").limit(1).count()
         labels = new
         if not moved:
@@ -212,7 +212,12 @@ def _search_block(key, table, percent, count, rows):
     import pyarrow as pa
 
     band, lo, hi = (k.as_py() for k in key[1:])
-    rep, comp, side = (table[c].to_numpy() for c in ("_rep", "_comp", "_side"))
+    node = np.stack([table[c].to_numpy() for c in ("_rep", "_fp")], 1)
+    comp = np.stack([table[c].to_numpy() for c in ("_c_id", "_c_fp")], 1)
+    side = table["_side"].to_numpy()
+    # Numbers in the order of nodes, and of the components.
+    _, rep = np.unique(node, axis=0, return_inverse=True)
+    _, root = np.unique(comp, axis=0, return_inverse=True)
     banded = np.frombuffer(b"".join(table["_sig"].to_pylist()), "<u4").reshape(-1, count, rows)
     sets, n = bounded_sets(pa.concat_arrays(table["_text"].chunks))
     table = None
@@ -220,9 +225,9 @@ def _search_block(key, table, percent, count, rows):
     _, number = np.unique(sets, return_inverse=True)
     held = np.append(0, np.cumsum(np.bincount(number)))
     holder = np.repeat(np.arange(len(n)), n)[np.argsort(number, kind="stable")]
-    _, root = np.unique(comp, return_inverse=True)
     right = np.flatnonzero(side == hi)
-    a, b = [], []
+    a: list[int] = []
+    b: list[int] = []
     for i in np.flatnonzero(side == lo):
         other = right[rep[right] > rep[i]] if lo == hi else right
         other = other[(root[other] != root[i]) & (100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i]))]
@@ -238,9 +243,9 @@ def _search_block(key, table, percent, count, rows):
         for j in other[100 * both >= percent * (n[i] + n[other] - both)]:
             if root[j] != root[i]:
                 root[root == root[j]] = root[i]
-                a.append(rep[i])
-                b.append(rep[j])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                a.append(i)
+                b.append(j)
+    return pa.table([node[a, 0], node[a, 1], node[b, 0], node[b, 1]], names=["a", "a_fp", "b", "b_fp"])
 
 
 def _texts(ends: DataFrame, docs: DataFrame) -> DataFrame:
@@ -263,10 +268,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Defined cases: with fewer than five words all of them are one shingle; a
     null text or one without words has none, is linked with nothing and kept;
     any length is read whole; rows of one doc_id are linked each by its own
-    text; a row of null doc_id is linked with nothing, has a null
-    component_id and is kept; an empty table gives an empty result; other
-    columns are ignored.
+    text, and equal ones alike; a row of null doc_id is linked with nothing,
+    has a null component_id and is kept; an empty table gives an empty
+    result; other columns are ignored.
     """
+    return _grouped(docs, percent).select("doc_id", "n_shingles", F.col("_comp.id").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("_comp.id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, _fp, n_shingles, _comp) per row of docs: _comp is the least (doc_id, hash of text) reachable."""
     count, width = bands(percent)
     fields = [("n_shingles", "long"), ("_f1", "long"), ("_f2", "long"), ("_sig", "binary")]
     narrow = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("_fp"))
@@ -283,40 +293,66 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     hubs = checkpointed(hubs)
     members = checkpointed(banded.join(small(hubs, hubs.count()), "_key"))
     near = F.least("_n", "_hub._n") * 100 >= F.greatest("_n", "_hub._n") * percent
-    star = members.where((F.col("_rep") != F.col("_hub._rep")) & near)
+    apart = (F.col("_rep") != F.col("_hub._rep")) | (F.col("_fp") != F.col("_hub._fp"))
+    star = members.where(apart & near)
     pairs = star.select(F.col("_rep").alias("a"), F.col("_fp").alias("a_fp"), F.col("_hub._rep").alias("b"), F.col("_hub._fp").alias("b_fp")).distinct()
     links = checkpointed(confirmed(checkpointed(pairs), docs, percent))
     labels = components(links)
     # Buckets that hold several components: every pair across them that may be linked.
-    comp = F.coalesce("label", "_rep").alias("_comp")
-    placed = checkpointed(members.join(labels, members["_rep"] == labels["node"], "left").select("_key", "_band", "_rep", "_fp", "_size", comp))
+    own = F.struct(F.col("_rep").alias("id"), F.col("_fp").alias("fp"))
+    comp = F.coalesce("label", own).alias("_comp")
+    placed = checkpointed(members.join(labels, own == F.col("node"), "left").select("_key", "_band", "_rep", "_fp", "_size", comp))
     mixed = placed.groupBy("_key").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo < _hi").select("_key")
     mixed = checkpointed(mixed)
     rest = checkpointed(placed.join(small(mixed, mixed.count()), "_key"))
     texts = _texts(rest.select(F.col("_rep").alias("_id"), F.col("_fp").alias("_f")).distinct(), docs)
-    carried = texts.join(classes.select("_rep", "_sig"), F.col("_id") == F.col("_rep")).select("_rep", "_sig", "_text")
+    of = classes.select("_rep", "_fp", "_sig")
+    carried = texts.join(of, (F.col("_id") == F.col("_rep")) & (F.col("_f") == F.col("_fp"))).select("_rep", "_fp", "_sig", "_text")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    side = F.pmod(F.xxhash64("_rep"), blocks).cast("int")
+    side = F.pmod(F.xxhash64("_rep", "_fp"), blocks).cast("int")
     rest = rest.withColumn("_side", side).withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rest = rest.withColumn("_i", F.least("_side", "_other")).withColumn("_j", F.greatest("_side", "_other"))
-    rest = rest.select("_key", "_band", "_i", "_j", "_rep", "_comp", "_side").join(carried, "_rep")
+    rest = rest.select("_key", "_band", "_i", "_j", "_rep", "_fp", F.col("_comp.id").alias("_c_id"), F.col("_comp.fp").alias("_c_fp"), "_side").join(carried, ["_rep", "_fp"])
 
     def search(key, table):
         return _search_block(key, table, percent, count, width)
 
-    more = checkpointed(rest.groupBy("_key", "_band", "_i", "_j").applyInArrow(search, "a long, b long").distinct())
+    more = checkpointed(rest.groupBy("_key", "_band", "_i", "_j").applyInArrow(search, "a long, a_fp long, b long, b_fp long").distinct())
     if more.limit(1).count():
-        labels = components(labels.toDF("a", "b").union(more))
-    named = classes.join(labels, classes["_rep"] == labels["node"], "left").select("_f1", "_f2", F.coalesce("label", "_rep").alias("_comp"))
-    known = part.join(named, ["_f1", "_f2"]).select("doc_id", "n_shingles", F.col("_comp").alias("component_id"))
-    alone = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return known.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        labels = components(labels.select("node.id", "node.fp", "label.id", "label.fp").toDF("a", "a_fp", "b", "b_fp").union(more))
+    named = classes.join(labels, own == F.col("node"), "left").select("_f1", "_f2", F.coalesce("label", own).alias("_comp"))
+    known = part.join(named, ["_f1", "_f2"]).select("doc_id", "_fp", "n_shingles", "_comp")
+    alone = rows.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "_fp", "n_shingles", F.struct(F.col("doc_id").alias("id"), F.col("_fp").alias("fp")).alias("_comp"))
+    return known.union(alone)
 
 
 def dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs of which near_duplicates() says kept."""
-    gone = checkpointed(near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct())
-    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    """One row of docs for each group of near_duplicates(): the one of the
+    least doc_id and, where rows share it, of the least hash of its text.
+
+    Defined cases: rows without words stay; rows of a null doc_id stay; rows
+    equal in doc_id and text are copies, one of which stays, the least by its
+    other columns as text (with words or without); rows that share a doc_id
+    but not their texts stay or go each by its own group; an empty table
+    gives an empty result; all columns pass through.
+    """
+    id_, fp, row = free_name(docs, "_id", "_of", "_row")
+    groups = _grouped(docs.select("doc_id", "text"), percent).where("doc_id IS NOT NULL")
+    is_head = (F.col("doc_id") == F.col("_comp.id")) & (F.col("_fp") == F.col("_comp.fp"))
+    found = groups.groupBy("doc_id", "_fp").agg(F.count(F.lit(1)).alias("_n"), F.bool_or(is_head).alias("_head"))
+    # Both sets are narrow; most rows of a corpus are in neither.
+    gone = checkpointed(found.where("NOT _head").select(F.col("doc_id").alias(id_), F.col("_fp").alias(fp)))
+    many = checkpointed(found.where("_head AND _n > 1").select(F.col("doc_id").alias(id_), F.col("_fp").alias(fp)))
+    n_many = many.count()
+    same = (F.col("doc_id") == F.col(id_)) & (F.xxhash64("text") == F.col(fp))
+    left = docs.join(small(gone, gone.count()), same, "left_anti")
+    if not n_many:
+        return left
+    single = left.join(small(many, n_many), same, "left_anti")
+    rows = left.join(small(many, n_many), same, "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = rows.groupBy("doc_id", F.xxhash64("text").alias(fp)).agg(F.min_by(whole, F.to_json(whole)).alias(row))
+    return single.unionByName(kept.select(*[F.col(row)[c].alias(c) for c in docs.columns]))
 
 
 SQL = """
