@@ -31,7 +31,8 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     """One row (doc_id, _fp, drop) per document that loses lines.
 
     _fp is xxhash64(text) and tells rows apart that share a doc_id; drop maps
-    a word number w to 64 bits, bit b of which stands for line 64 * w + b.
+    a word number w to 64 bits, bit b of which stands for line 64 * w + b and
+    is set if the line goes; words and documents that are not there keep all.
     A key counts once per doc_id. With keep_first, the first occurrence in
     the order (doc_id, _fp, position) of a key stays, nulls first.
     """
@@ -78,20 +79,21 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     replaced.
     """
     bitmaps = line_bitmaps(docs.select("doc_id", "text"), min_docs, min_chars, keep_first)
-    fp, bits = free_name(docs, "_fp", "_bits")
-    left = docs.drop("n_lines", "n_dropped", "kept_text").withColumn(fp, F.xxhash64("text"))
-    right = bitmaps.select(F.col("doc_id").alias("_id"), F.col("_fp").alias("_of"), "drop")
-    joined = left.join(right, left["doc_id"].eqNullSafe(right["_id"]) & (left[fp] == right["_of"]), "left")
+    source = docs.drop("n_lines", "n_dropped", "kept_text")
+    fp, bits, id_, of, drop = free_name(source, "_fp", "_bits", "_id", "_of", "_drop")
+    left = source.withColumn(fp, F.xxhash64("text"))
+    right = bitmaps.toDF(id_, of, drop)
+    joined = left.join(right, left["doc_id"].eqNullSafe(right[id_]) & (left[fp] == right[of]), "left")
     lines = _lines(F.col("text"))
     n_words = F.floor((F.size(lines) - 1) / 64).cast("int")
-    dense = F.transform(F.sequence(F.lit(0), n_words), lambda w: F.coalesce(F.try_element_at("drop", w), F.lit(0).cast("long")))
-    out = joined.withColumn(bits, F.when(F.col("drop").isNotNull(), dense))
+    dense = F.transform(F.sequence(F.lit(0), n_words), lambda w: F.coalesce(F.try_element_at(drop, w), F.lit(0).cast("long")))
+    out = joined.withColumn(bits, F.when(F.col(drop).isNotNull(), dense))
     kept = F.filter(
         lines, lambda _, i: F.call_function("getbit", F.get(bits, F.floor(i / 64).cast("int")), i % 64) == 0
     )
-    dropped = F.aggregate(F.map_values("drop"), F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w))
+    dropped = F.aggregate(F.map_values(drop), F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w))
     return out.select(
-        *[F.col(c) for c in left.columns if c != fp],
+        *[F.col(f"`{c}`") for c in source.columns],
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(dropped, F.lit(0).cast("long")).alias("n_dropped"),
         F.when(F.col(bits).isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
