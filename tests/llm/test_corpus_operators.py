@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -118,7 +119,7 @@ def test_chat_round_trip(spark):
     rows += [(2, t, "u", "x" * (t % 3)) for t in range(1200)] + [(3, 0, None, "who"), (None, 0, "ann", "lost"), (4, None, "ann", "when"), (5, 1, "system", "alone")]
     out = chat_format.perspectives(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
     by = {(r.conv_id, r.part, r.speaker): r for r in out}
-    assert sorted(by, key=str) == sorted([(1, 0, "ann"), (1, 0, "bob|>\n"), (2, 0, "u"), (2, 1, "u"), (2, 2, "u"), (4, None, "ann")], key=str)
+    assert sorted(by, key=str) == sorted([(1, 0, "ann"), (1, 0, "bob|>\n"), (2, 0, "u"), (2, 1, "u"), (2, 2, "u"), (4, None, "ann"), (None, 0, "ann")], key=str)
     ann = by[1, 0, "ann"]
     assert parse_chat(ann.text) == [("system", None, "be <|end|> kind"), ("assistant", None, "hi <|"), ("user", "bob%7C%3E%0A", ""), ("assistant", None, "<|assistant|>\nno")]
     spans = [tuple(map(int, s.split(":"))) for s in ann.target_spans.split()]
@@ -170,7 +171,10 @@ def test_token_counts_of_random_strings():
     sp, counter, rng = sentencepiece.SentencePieceProcessor(model_file=file), token_counts.PieceCounter(file), random.Random(3)
     parts = ["the", " ", "  ", "\n", "é", "ß", "日", "ing", "<s>", "\t", "🤷", "1", "--", "▁", "\x00", "aaaa" * 40, "tion" * 30]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(800)]
+    texts += ["".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(n)) for n in (47, 48, 49, 500, 20_000)]
+    texts += [c * n for c in ("a", "e", "ab", "日本", "the", "ss", "=") for n in (47, 48, 49, 997, 5000)]
     assert counter.count(texts) == [len(x) for x in sp.encode(texts)]
+    assert counter.count([]) == [] and counter.count([None, "", " "]) == [0, 0, len(sp.encode(" "))]
 
 
 def test_language_id(spark, none):
@@ -190,22 +194,23 @@ def test_language_id(spark, none):
 def test_language_id_parses_longest_matches():
     rng = random.Random(2)
     samples = {k: [97 + rng.randrange(4) for _ in range(300)] for k in "xy"}
+    samples["y"] = [97 + k % 3 for k in range(900)]
     parser = language_id.Parser.fit(samples)
     texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 1300))) for _ in range(20)]
+    # Phrases that run over several segments, and one that is out of step with every segment.
+    texts += ["abc" * 900, "d" + "abc" * 700 + "dd" + "abc" * 300, "bca" * 250 + "x" + "cab" * 200]
     raw, sizes, _ = language_id.symbols(texts)
     got = parser.phrases(raw, sizes)
     at = np.cumsum(sizes) - sizes
     for k, lang in enumerate("xy"):
         known = "".join(map(chr, samples[lang]))
         for a, n, found in zip(at, sizes, got[:, k], strict=True):
-            s, phrases = "".join(map(chr, raw[a : a + n])), 0
-            for part in (s[i : i + language_id.SEGMENT] for i in range(0, len(s), language_id.SEGMENT)):
-                i = 0
-                while i < len(part):
-                    j = i + 1
-                    while j <= len(part) and part[i:j] in known:
-                        j += 1
-                    i, phrases = max(j - 1, i + 1), phrases + 1
+            s, phrases, i = "".join(map(chr, raw[a : a + n])), 0, 0
+            while i < len(s):
+                j = i + 1
+                while j <= len(s) and s[i:j] in known:
+                    j += 1
+                i, phrases = max(j - 1, i + 1), phrases + 1
             assert found == phrases
 
 
@@ -243,6 +248,35 @@ def test_mixing(docs, none, spark):
     assert [(r.size, r.target, r.taken) for r in blank] == [(0, 0.0, 0)] * 2
 
 
+def test_mixing_comes_from_its_draws(spark):
+    """Each shard's counts are drawn, other seeds take other amounts, all within the tolerance, and every drawn slot is one place."""
+    rows = [(i, "w " * 400, "en", f"s{i % 6}", 800) for i in range(3000)]
+    docs = spark.createDataFrame(rows, DOC)
+    taken = []
+    for seed in (0, 1):
+        out = mixing.mix(docs, shard=1000, seed=seed, spans=True).cache()
+        got = {r.source: (r.t, r.target) for r in out.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).collect()}
+        assert all(abs(t - target) <= 64 + 0.01 * target for t, target in got.values())
+        taken.append({s: t for s, (t, _) in got.items()})
+        spans = out.select("source", "taken", F.explode("taken_spans").alias("s")).select("source", "s.*")
+        places = spans.groupBy("shard", "slot").agg(F.count_distinct("source").alias("n"), F.sum(F.col("last") - F.col("first")).alias("words"))
+        assert places.where("n <> 1 OR words > 64").count() == 0
+        assert spans.where("slot < 0 OR slot >= 1000").count() == 0
+    assert taken[0] != taken[1]
+    sources = mixing.targets(docs.groupBy("source").agg(F.lit(200_000).cast("long").alias("source_size")))
+    total = sources.agg(F.sum("_slots")).first()[0]
+    got = {(r["_shard"], r["_sid"]): r["_n"] for r in mixing.drawn_slots(spark, sources, 6, total, 1000).collect()}
+    ends, start = [], 0
+    for r in sorted(sources.collect(), key=lambda r: r["_sid"]):
+        ends.append((start, start + r["_slots"], r["_sid"]))
+        start += r["_slots"]
+    want = collections.Counter()
+    for s in range(total):
+        u = int(hashlib.md5(f"0:{s}".encode()).hexdigest()[:15], 16) % total
+        want[s // 1000, next(sid for lo, hi, sid in ends if lo <= u < hi)] += 1
+    assert got == dict(want)
+
+
 def test_mixing_wide_numbers_agree(spark):
     df = spark.range(0, 3000).select(F.col("id").alias("i"), F.lit(997).cast("long").alias("n"), (F.col("id") % 4).cast("int").alias("s"))
     out = df.select(mixing.permuted(F.col("i"), F.col("n"), F.col("s"), False).alias("a"), mixing.permuted(F.col("i"), F.col("n"), F.col("s"), True).alias("b"))
@@ -296,7 +330,19 @@ def test_near_dedup(docs, none):
     got = [(str(r.doc_id), r.n_shingles, str(r.component_id), r.kept) for r in near_dedup.digest(docs).collect()]
     assert sorted(got) == sorted(want)
     assert near_dedup.digest(none).count() == 0
-    assert near_dedup.dedup(docs).count() == sum(w[3] for w in want)
+    kept = {(str(i), t) for (i, t, *_), w in zip(rows, want, strict=True) if w[3]}
+    out = near_dedup.dedup(docs).collect()
+    assert len(out) == len(kept) and {(str(r.doc_id), r.text) for r in out} == kept
+
+
+def test_dedup_goes_by_rows(spark):
+    """A text isn't lost because another one of its doc_id is a copy; of equal rows one stays, with all its columns."""
+    rng = random.Random(8)
+    w, x, y = (prose(rng, 40) for _ in range(3))
+    rows = [(3, w, "a"), (5, x, "b"), (5, w, "c"), (7, y, "e"), (7, y, "d"), (7, y, "d"), (8, y, "f"), (None, y, "g"), (9, None, "h"), (9, None, "h"), (10, None, "i")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _id string")
+    got = sorted(map(str, (tuple(r) for r in near_dedup.dedup(docs).collect())))
+    assert got == sorted(map(str, [(3, w, "a"), (5, x, "b"), (7, y, "d"), (None, y, "g"), (9, None, "h"), (10, None, "i")]))
 
 
 def test_near_dedup_closes_mixed_buckets(spark):
@@ -378,14 +424,40 @@ def test_topk(spark):
 
 def test_topk_bounds_keep_ties_and_large_numbers():
     rng = np.random.default_rng(8)
-    for scale in (2, 300, 2**30):
+    hold = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    for scale in (2, 300, 2**30, 2**45):
         x = rng.integers(-scale, scale, (400, 6))
+        x[200:240] = x[100]
         ids = np.arange(400) * 3
-        q, v, s = topk_search.bounded_top(x[:30], ids[:30], x, ids, 5)
         full = x[:30].astype(object) @ x.T.astype(object)
-        for a in range(30):
-            best = sorted((-full[a][b], b) for b in range(400) if b != a)[:5]
-            assert [(-int(t), int(b)) for t, b in zip(s[q == a], v[q == a], strict=True)] == best
+        cut = [(k, ids[a : a + 100], x[a : a + 100].astype(float)) for k, a in enumerate(range(0, 400, 100))]
+        for blocks in ([(0, ids, x.astype(float))], cut):
+            q, v, s, read, there = topk_search.top_of_blocks(blocks, [(0, ids[:30], x[:30].astype(float))], 5)
+            assert 0 <= read <= there == 30 * 400 * 6
+            for a in range(30):
+                best = sorted((-hold(full[a][b]), int(ids[b])) for b in range(400) if b != a)[:5]
+                assert [(-t, i) for o, t, i in zip(q, s, v, strict=True) if o == ids[a]] == best
+
+
+def test_topk_stops_reading_where_lists_allow():
+    """Few weights decide: the other lists are hardly read. The mark of one block spares entries of the next."""
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(4000, 32)) * 256 / (1 + np.arange(32)) ** 1.5)
+    ids = np.arange(4000)
+    ask = [(0, ids[:40], x[:40])]
+    *_, read, there = topk_search.top_of_blocks([(0, ids, x)], ask, 5)
+    assert read < 0.3 * there
+    halves = [(0, ids[:2000], x[:2000]), (1, ids[2000:], x[2000:])]
+    together = topk_search.top_of_blocks(halves, ask, 5)
+    apart = [topk_search.top_of_blocks([h], ask, 5) for h in halves]
+    assert together[3] < apart[0][3] + apart[1][3]
+
+
+def test_topk_takes_large_components(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1e7, 2.0]), (2, [1e30, 0.0]), (50, [1e7, 0.0]), (3, [-1e30, 0.0]), (4, [0.5, 0.5])]
+    got = [tuple(r) for r in topk_search.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), k=2).collect()]
+    ten = 256 * 10_000_000
+    assert sorted(got) == [(0, 1, 2, 2**63 - 1), (0, 2, 1, 256 * ten), (50, 1, 2, 2**63 - 1), (50, 2, 1, ten * ten)]
 
 
 def test_license_scan(spark):
@@ -455,6 +527,138 @@ def test_license_scan_finds_every_known_sentence(spark):
     assert (got.sentence_ids, got.licences, got.leftover) == ("mpl-2-ref;mpl-2-copy", "MPL-2.0", "")
 
 
+ISC = """ISC License
+
+Copyright (c) 2021, Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE.
+"""
+ZLIB = """  This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages
+  arising from the use of this software.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:
+
+  1. The origin of this software must not be misrepresented; you must not
+     claim that you wrote the original software. If you use this software
+     in a product, an acknowledgment in the product documentation would be
+     appreciated but is not required.
+  2. Altered source versions must be plainly marked as such, and must not be
+     misrepresented as being the original software.
+  3. This notice may not be removed or altered from any source distribution.
+"""
+BSD_3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+APACHE = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+"""
+GNU = """# This {what} is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {kind} as published by
+# the Free Software Foundation, either version {version} of the License, or
+# (at your option) any later version.
+#
+# This {what} is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU {kind} for more details.
+#
+# You should have received a copy of the GNU {kind}
+# along with this {what}.  If not, see <https://www.gnu.org/licenses/>.
+"""
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer,
+must be included in all copies of the Software, in whole or in part, and
+all derivative works of the Software, unless such copies or derivative
+works are solely in the form of machine-executable object code generated by
+a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT
+SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE
+FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE.
+"""
+
+
+def test_license_scan_of_whole_texts(spark):
+    """Public texts as they are printed, each known whole, with nothing left over."""
+    general, lesser, affero = "General Public License", "Lesser General Public License", "Affero General Public License"
+    want = [
+        ("ISC", ISC), ("Zlib", ZLIB), ("BSD-3-Clause", BSD_3), ("Apache-2.0", APACHE), ("BSL-1.0", BOOST),
+        ("GPL-3.0-or-later", GNU.format(what="program", kind=general, version="3")),
+        ("GPL-2.0-or-later", GNU.format(what="program", kind=general, version="2")),
+        ("LGPL-3.0-or-later", GNU.format(what="library", kind=lesser, version="3")),
+        ("AGPL-3.0-or-later", GNU.format(what="program", kind=affero, version="3")),
+        ("BSD-2-Clause", BSD_3[: BSD_3.index("3. Nei")] + BSD_3[BSD_3.index("THIS SOFTWARE IS") :]),
+        ("0BSD", ISC.replace("ISC License", "").replace(""", provided that the above
+copyright notice and this permission notice appear in all copies.""", ".")),
+        ("CC0-1.0", "To the extent possible under law, the author has waived all copyright\nand related or neighboring rights to this work."),
+        ("EPL-2.0", "// This program and the accompanying materials are made available under the\n// terms of the Eclipse Public License 2.0 which is available at\n// https://www.eclipse.org/legal/epl-2.0/\n"),
+        ("LGPL-2.1-or-later", "// SPDX-License-Identifier: LGPL-2.1-or-later\nint x;"),
+    ]
+    docs = spark.createDataFrame([(k, "code before();\n\n" + text + "\n\nafter it") for k, (_, text) in enumerate(want)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.licences, r.leftover) for r in license_scan.scan(docs).collect()}
+    assert [got[k] for k in range(len(want))] == [(name, "") for name, _ in want]
+    assert license_scan.scan(docs.where("false")).count() == 0
+
+
 def test_packing_covers_every_id_once(docs, none):
     import public_tokenizers
     from tokenizers import Tokenizer

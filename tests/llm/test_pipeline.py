@@ -4,9 +4,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from gridcheck.llm import language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_rules, token_counts
 
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WORDS = "river stone window garden market letter summer winter bridge castle forest island meadow harbor valley engine".split()
@@ -60,6 +62,66 @@ def test_stages(spark, sf_dir, tmp_path):
     assert sum(p.length for p in seen["packing"]) > sum(mixed.values())
 
 
+#: Names that operators use within or return, a name with a dot, and other cases of letters.
+CLASHES = """_fp _bits _id _of drop _drop _key _words _turn _mine _nth _spans taken_spans _ids _state _text _comp _sig _n _at _last _row
+label node a b x.y Kept n_lines n_dropped kept_text n_words word_chars n_symbols n_dup_lines n_repeat_words content_chars base_failed
+n_known sentence_ids licences leftover n_bytes n_tokens over_limit lang_pred score size source_size target taken start length ids""".split()
+
+
+def odd_rows():
+    """Nulls in any column, empty and very long texts, ties, repeated rows and shared ids."""
+    long = "\n".join(f"{w} stands in line {k} of a long and plain text." for k, w in enumerate(WORDS * 400))
+    rows = [(i, text, "en", f"s{i % 3}", len(text or "")) for i, text in enumerate([corpus()[1][1], corpus()[2][1], long, "", None, "\n", "a b"])]
+    rows += [rows[0], rows[0], (0, rows[1][1], "en", "s0", 5), (None, rows[1][1], None, None, None), (None, None, None, None, None), rows[4], rows[3]]
+    return rows
+
+
+OPERATORS = {
+    "op1": lambda d: line_dedup.dedup_lines(d, min_docs=2),
+    "op3": token_counts.count_tokens,
+    "op4": lambda d: language_id.identify(d, language_id.train(d)),
+    "op5": mixing.mixed_documents,
+    "op6": near_dedup.dedup,
+    "op8": license_scan.scan,
+    "op10": lambda d: quality_rules.rate(d, quality_rules.train(d, d.selectExpr("doc_id", "int(doc_id % 2) AS quality"))),
+}
+RETURNED = {
+    "op1": {"n_lines", "n_dropped", "kept_text"},
+    "op3": {"n_bytes", "n_tokens", "over_limit"},
+    "op4": {"lang_pred", "score"},
+    "op8": {"n_known", "sentence_ids", "licences", "leftover"},
+    "op10": {n for n, _ in quality_rules.FIELDS},
+}
+
+
+@pytest.mark.parametrize("name", [*OPERATORS, *(n for n, _ in corpus_pipeline.STAGES[:-1])])
+def test_odd_rows_and_clashing_names(spark, sf_dir, name):
+    """Results are those without the extra columns, whose values come back, but for those of a name that an operator returns."""
+    plain = spark.createDataFrame(odd_rows(), DOC)
+    extra = plain.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in CLASHES])
+    stage = dict(corpus_pipeline.STAGES).get(name)
+    run = OPERATORS[name] if name in OPERATORS else lambda d: stage(spark, d, sf_dir)
+    out, want = run(extra), run(plain)
+    returned = {r.lower() for r in RETURNED.get(name, ())}
+    kept = [c for c in extra.columns if c.lower() not in returned]
+    assert [c for c in out.columns if c in kept] == kept
+    rows = [r.asDict() for r in out.collect()]
+    assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in CLASHES if c in kept)
+    columns = [c for c in want.columns if c.lower() in returned or c in plain.columns]
+    key = lambda r: tuple(str(r[c]) for c in columns)
+    assert sorted(map(key, rows)) == sorted(key(r.asDict()) for r in want.collect())
+    assert run(extra.where("false")).count() == 0
+
+
+def test_operators_and_packing_ignore_extra_columns(spark):
+    plain = spark.createDataFrame(odd_rows(), DOC)
+    extra = plain.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+    for digest in (line_dedup.digest, token_counts.digest, language_id.digest, mixing.digest, near_dedup.digest, license_scan.digest, packing.digest):
+        got, want = ([tuple(map(str, r)) for r in digest(d).collect()] for d in (extra, plain))
+        assert sorted(got) == sorted(want), digest.__module__
+        assert digest(extra.where("false")).count() == 0
+
+
 def test_run_and_registration(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
     known = __spark_entry__.queries()
