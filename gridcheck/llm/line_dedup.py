@@ -43,6 +43,8 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
         .where(F.length("_key") >= min_chars)
         .select(F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit(1), "_key").alias("_h2"), "doc_id", "_fp", "_pos")
     )
+    # The hashes are read three times, by the sampler of ranges, the sort and the join; the texts once.
+    lines = checkpointed(lines)
     # (hash, document) are the range keys, so that the window below needs no further exchange.
     dealt = lines.repartitionByRange(*KEY, "doc_id").sortWithinPartitions(*KEY, "doc_id", "_fp", "_pos")
     in_doc = Window.partitionBy(*KEY, "doc_id").orderBy("_fp", "_pos")
