@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,37 @@ def trim() -> None:
         libc.malloc_trim(0)
 
 
+#: Seconds between two trims of the driver, and when the last one was.
+TRIM_EVERY, _trimmed = 3.0, [0.0]
+
+
+def trim_driver(spark: SparkSession) -> None:
+    """trim() for the driver: its Python, and its JVM, whose allocator keeps what planning and compiling have freed, some
+    hundred MB. JVMs without the command are left as they are."""
+    if time.monotonic() - _trimmed[0] < TRIM_EVERY:
+        return
+    _trimmed[0] = time.monotonic()
+    trim()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    of = jvm.java.lang.Class.forName
+    beans = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+
+    def call(method: str, kinds: list[str], *args):
+        # By reflection on the interface: the class of the server is not open to Py4J.
+        types, values = array(jvm.java.lang.Class, len(kinds)), array(jvm.java.lang.Object, len(args))
+        for k, (kind, arg) in enumerate(zip(kinds, args, strict=True)):
+            types[k], values[k] = of(kind), arg
+        return of("javax.management.MBeanServer").getMethod(method, types).invoke(beans, values)
+
+    name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    if not call("isRegistered", ["javax.management.ObjectName"], name):
+        return
+    known = call("getMBeanInfo", ["javax.management.ObjectName"], name).getOperations()
+    if "systemTrimNativeHeap" in [o.getName() for o in known]:
+        kinds = ["javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"]
+        call("invoke", kinds, name, "systemTrimNativeHeap", array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0))
+
+
 def map_texts(docs: DataFrame, make, fields: list[tuple[str, str]], text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
     """Apply a batch function to the texts of docs, partition by partition.
 
@@ -145,7 +178,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
             named = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(named)
-    return df.checkpoint()
+    out = df.checkpoint()
+    trim_driver(df.sparkSession)
+    return out
 
 
 def small(df: DataFrame, rows: int, limit: int = 50_000) -> DataFrame:

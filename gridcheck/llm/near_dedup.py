@@ -31,6 +31,8 @@ from gridcheck.llm.wordhash import LOWER_BYTES, WINDOW, Texts, mix, slices, wind
 
 SHINGLE, PERCENT = 5, 75
 SLOTS, MISSED = 72, 2e-6
+#: Links, in both directions, that components() closes in one task.
+ONE_TASK = 200_000
 #: Members of a bucket that step 5 compares at once, twice over.
 BLOCK = 1024
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -195,14 +197,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of links (a, a_fp, b, b_fp), as pairs of doc_id and hash: label is the least node reachable."""
     ends = links.select(F.struct(F.col("a").alias("id"), F.col("a_fp").alias("fp")).alias("_to"), F.struct(F.col("b").alias("id"), F.col("b_fp").alias("fp")).alias("_from"))
     ways = checkpointed(ends.union(ends.select("_from", "_to")).distinct())
-    labels = checkpointed(ways.groupBy("_from").agg(F.least(F.col("_from"), F.min("_to")).alias("label")).withColumnRenamed("_from", "node"))
+    # What one task can hold is closed in one, so that the rounds shuffle nothing; results are the same.
+    held = (lambda df: checkpointed(df).coalesce(1)) if ways.count() <= ONE_TASK else checkpointed
+    ways = ways.coalesce(1) if held is not checkpointed else ways
+    labels = held(ways.groupBy("_from").agg(F.least(F.col("_from"), F.min("_to")).alias("label")).withColumnRenamed("_from", "node"))
     while True:
-        heard = ways.join(labels, ways["_from"] == labels["node"]).select(F.col("_to").alias("node"), "label")
-        least = checkpointed(labels.union(heard).groupBy("node").agg(F.min("label").alias("label")))
+        heard = ways.join(labels, ways["_from"] == labels["node"]).select(F.col("_to").alias("node"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("_old"))
+        known = labels.select("node", "label", F.col("label").alias("_old"))
+        least = held(known.union(heard).groupBy("node").agg(F.min("label").alias("label"), F.max("_old").alias("_old")))
         onward = least.select(F.col("node").alias("_at"), F.col("label").alias("_next"))
-        new = checkpointed(least.join(onward, least["label"] == onward["_at"]).select("node", F.col("_next").alias("label")))
-        moved = new.join(labels.withColumnRenamed("label", "_old"), "node").where("label <> _old").limit(1).count()
-        labels = new
+        new = held(least.join(onward, least["label"] == onward["_at"]).select("node", F.col("_next").alias("label"), "_old"))
+        moved = new.where("label <> _old").limit(1).count()
+        labels = new.select("node", "label")
         if not moved:
             return labels
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcheck.llm.common import first_rows, map_texts
+from gridcheck.llm.common import first_rows, map_texts, trim_driver
 from gridcheck.llm.wordhash import IS_SPACE, Texts, mix, windows
 
 #: Bounds of the training sample: documents of either quality, characters and lines of each.
@@ -253,6 +253,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_DOCS, max_
     rows = sorted((r["doc_id"], r["text"]) for r in one_each.collect())
     lines = describe(Texts(pa.array([t for _, t in rows], pa.large_string())))
     crf = fit(lines.features, lines.per_text, np.array([ids[i] == 1 for i, _ in rows]))
+    del rows, one_each, lines
+    trim_driver(docs.sparkSession)
     return crf
 
 
