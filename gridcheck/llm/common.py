@@ -68,7 +68,8 @@ def first_rows(rows: DataFrame, key: str, late: Column, hashed: Column, n: int)
     further = lambda s, c: F.when(s["ahead"] < n, F.struct((s["ahead"] + c["_n"]).alias("ahead"), c["_at"].alias("last"))).otherwise(s)
     reach = counts.groupBy(key).agg(F.collect_list(F.struct("_at", "_n")).alias("_c"))
     reach = reach.select(key, F.aggregate(F.array_sort("_c"), none, further)["last"].alias("_last"))
-    return placed.join(reach, key).where("_at <= _last").drop("_at", "_last")
+    reach = checkpointed(reach)  # one row a key; known to be small, it narrows the rows before they are dealt by key
+    return placed.join(small(reach, reach.count()), key).where("_at <= _last").drop("_at", "_last")
 
 
 def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
