@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridcheck.functions.text import CONFUSABLE, change_label, digit_fix
+from gridcheck.functions.text import CONFUSED, change_label, digit_fix
 
 
 def digit_fixes(targets: DataFrame) -> DataFrame:
@@ -16,21 +16,33 @@ def digit_fixes(targets: DataFrame) -> DataFrame:
 def two_digit_fixes(targets: DataFrame, key: list[str]) -> DataFrame:
     """Of (key, value, target): the first change of two confusable digits at
     different places that moves the magnitude by target, most significant
-    first. Single changes join themselves on target - change, an equi-join."""
-    spark = targets.sparkSession
-    pairs = [(int(x), int(y)) for a, b in CONFUSABLE for x, y in ((a, b), (b, a))]
-    confusions = F.broadcast(spark.createDataFrame(pairs, "digit int, other int"))
+    first. Every confusion of one digit leaves a rest; a rest of one digit
+    with zeros after it names the second change. A row needs no other row."""
+    others = F.create_map(*[x for d, found in _others().items() for x in (F.lit(d), F.array(*[F.lit(int(o)) for o in found]))])
+    tens = F.array(*[F.lit(10**k).cast("long") for k in range(19)])
     text = F.abs("value").cast("string")
-    digits = targets.select(*key, "value", "target", F.length(text).alias("_len"), F.posexplode(F.split(text, "")).alias("pos", "d")).where("d <> ''")
-    single = digits.join(confusions, F.col("d").cast("int") == F.col("digit"))
-    size = F.pow(F.lit(10.0), F.col("_len") - 1 - F.col("pos")).cast("bigint")
-    single = single.withColumn("change", (F.col("other") - F.col("digit")) * size)
-    left = single.select(*key, "value", "target", F.col("pos").alias("p1"), F.col("other").alias("d1"), "change", (F.col("target") - F.col("change")).alias("need"))
-    right = single.select(*key, F.col("pos").alias("p2"), F.col("other").alias("d2"), F.col("change").alias("need"))
-    both = left.join(right, [*key, "need"]).where("p1 < p2")
-    w = Window.partitionBy(*key).orderBy("p1", "d1", "p2", "d2")
+    size = F.length(text)
+    digit = lambda at: F.substr(text, at + 1, F.lit(1))
+    change = lambda at, other: (other - digit(at).cast("int")).cast("long") * F.get(tens, size - 1 - at)
+    at_place = lambda p: F.transform(F.element_at(others, digit(p)), lambda o: F.struct(p.alias("p1"), o.alias("d1"), (F.col("target") - change(p, o)).alias("rest")))
+    first = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), at_place))
+
+    def second(one):
+        rest = F.abs(one["rest"]).cast("string")
+        place = size - F.length(rest)
+        other = digit(place).cast("int") + F.substr(rest, F.lit(1), F.lit(1)).cast("int") * F.signum(one["rest"]).cast("int")
+        pair = F.concat(digit(place), other.cast("string"))
+        return F.when(rest.rlike("^[1-9]0*$") & (place > one["p1"]) & pair.isin(*CONFUSED), F.struct(one["p1"].alias("p1"), one["d1"].alias("d1"), place.alias("p2")))
+
+    best = F.array_min(F.filter(F.transform(first, second), lambda x: x.isNotNull()))
     fixed = F.when(F.col("value") < 0, F.col("value") - F.col("target")).otherwise(F.col("value") + F.col("target"))
-    return both.withColumn("_n", F.row_number().over(w)).where("_n = 1").select(*key, "value", "target", "p1", "p2", fixed.alias("fixed"))
+    found = targets.withColumn("_fix", best).where("_fix IS NOT NULL")
+    return found.select(*key, "value", "target", F.col("_fix.p1").alias("p1"), F.col("_fix.p2").alias("p2"), fixed.alias("fixed"))
+
+
+def _others() -> dict[str, list[str]]:
+    """The digits with which each digit is confused."""
+    return {d: sorted(p[1] for p in CONFUSED if p[0] == d) for d in sorted({p[0] for p in CONFUSED})}
 
 
 def balance_rows(wide: DataFrame) -> DataFrame:

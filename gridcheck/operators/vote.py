@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,29 +14,31 @@ def histogram(readings: DataFrame, key: list[str]) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(best))
 
 
-def majority(readings: DataFrame, key: list[str]) -> DataFrame:
-    """The value with most votes; a tie gives the truncated median of the
-    tied values, which nobody need have read. confidence is the share of the
-    winner among the votes that aren't null; a winner that nobody read takes
-    the votes of the tied."""
-    counted = readings.where("value IS NOT NULL").groupBy(*key, "value").agg(F.count(F.lit(1)).alias("votes"))
+def _winner(counted: DataFrame, key: list[str], *more: str) -> DataFrame:
+    """The winner of each cell of (key, value, votes, more): value, votes, confidence, and more of who read it."""
     grouped = counted.groupBy(*key).agg(
-        F.max("votes").alias("_top"), F.sum("votes").alias("_all"), F.array_sort(F.collect_list(F.struct("value", "votes"))).alias("_h")
+        F.max("votes").alias("_top"), F.sum("votes").alias("_all"), F.array_sort(F.collect_list(F.struct("value", "votes", *more))).alias("_h")
     )
     tied = F.transform(F.filter("_h", lambda r: r["votes"] == F.col("_top")), lambda r: r["value"])
     middle = (F.get("_t", F.expr("int((size(_t) - 1) div 2)")) + F.get("_t", F.expr("int(size(_t) div 2)"))) / 2
     won = grouped.withColumn("_t", tied).withColumn("value", middle.cast("bigint"))
-    own = F.try_element_at(F.map_from_entries("_h"), F.col("value"))
-    won = won.withColumn("votes", F.coalesce(own, "_top"))
-    return won.select(*key, "value", "votes", F.round(F.col("votes") / F.col("_all"), 4).alias("confidence"))
+    won = won.withColumn("_own", F.get(F.filter("_h", lambda r: r["value"] == F.col("value")), F.lit(0)))
+    votes = F.coalesce(F.col("_own.votes"), F.col("_top"))
+    return won.select(*key, "value", votes.alias("votes"), F.round(votes / F.col("_all"), 4).alias("confidence"), *[F.col(f"_own.{m}").alias(m) for m in more])
+
+
+def majority(readings: DataFrame, key: list[str]) -> DataFrame:
+    """The value with most votes; a tie gives the truncated median of the
+    tied values, which nobody need have read. confidence is the share of the
+    winner among the votes that aren't null; a winner that nobody read takes
+    the votes of the tied."""
+    return _winner(readings.where("value IS NOT NULL").groupBy(*key, "value").agg(F.count(F.lit(1)).alias("votes")), key)
 
 
 def cross_model(readings: DataFrame, key: list[str]) -> DataFrame:
     """majority() with the sorted names of the models that read the winner."""
-    winner = majority(readings, key)
-    agreed = winner.join(readings.select(*key, F.col("value").alias("_v"), "model"), key).where("_v = value")
-    models = agreed.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set("model")), ",").alias("models"))
-    return winner.join(models, key, "left")
+    names = F.array_join(F.array_sort(F.collect_set("model")), ",").alias("models")
+    return _winner(readings.where("value IS NOT NULL").groupBy(*key, "value").agg(F.count(F.lit(1)).alias("votes"), names), key, "models")
 
 
 def two_stage(readings: DataFrame, key: list[str]) -> DataFrame:
@@ -54,31 +56,52 @@ def locked(readings: DataFrame, key: list[str], n_readings: int) -> DataFrame:
     return top.where(settled).select(*key, "value", "votes")
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with value worked out once, however often then uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _digit_vote(values: Column) -> Column:
+    """The number that the digits of an array of numbers vote for."""
+    ten = F.sequence(F.lit(0), F.lit(9))
+
+    def winner(votes):
+        most = _let(F.array_max(votes), lambda top: F.filter(ten, lambda d: F.get(votes, d) == top))
+        return _let(most, lambda tied: F.get(tied, F.floor(F.size(tied) / 2).cast("int")).cast("long"))
+
+    def number(texts):
+        place = lambda p: _let(
+            F.array_join(F.transform(texts, lambda x: F.substr(x, p + 1, F.lit(1))), ""),
+            lambda read: _let(F.transform(ten, lambda d: F.length(read) - F.length(F.replace(read, d.cast("string"), F.lit("")))), winner),
+        )
+        chosen = F.transform(F.sequence(F.lit(0), F.array_max(F.transform(texts, lambda x: F.length(x))) - 1), place)
+        return F.aggregate(F.reverse(chosen), F.lit(0).cast("long"), lambda n, d: n * 10 + d)
+
+    size = _let(F.transform(values, lambda v: F.reverse(F.abs(v).cast("string"))), number)
+    negative = F.size(F.filter(values, lambda v: v < 0)) * 2 > F.size(values)
+    return F.when(negative, -size).otherwise(size)
+
+
 def digits(readings: DataFrame, key: list[str]) -> DataFrame:
     """A vote for every decimal place of the right-aligned digits, missing
     ones left out; a tie gives the upper middle of the sorted tied digits.
-    The sign has a vote of its own."""
-    some = readings.where("value IS NOT NULL")
-    text = F.reverse(F.abs("value").cast("string"))
-    place = some.select(*key, F.posexplode(F.split(text, "")).alias("place", "digit")).where("digit <> ''")
-    counted = place.groupBy(*key, "place", "digit").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*key, "place")
-    tied = counted.withColumn("_top", F.max("n").over(w)).where("n = _top").groupBy(*key, "place").agg(F.array_sort(F.collect_list("digit")).alias("_d"))
-    chosen = tied.select(*key, "place", F.get("_d", F.floor(F.size("_d") / 2).cast("int")).cast("bigint").alias("digit"))
-    number = chosen.groupBy(*key).agg(F.sum(F.col("digit") * F.pow(F.lit(10.0), F.col("place")).cast("bigint")).alias("_size"))
-    sign = some.groupBy(*key).agg(F.when(F.count_if(F.col("value") < 0) * 2 > F.count(F.lit(1)), -1).otherwise(1).alias("_sign"))
-    return number.join(sign, key).select(*key, (F.col("_size") * F.col("_sign")).alias("value"))
+    The sign has a vote of its own. The readings of a cell, a few, meet once."""
+    read = readings.where("value IS NOT NULL").groupBy(*key).agg(F.collect_list("value").alias("_v"))
+    return read.select(*key, _digit_vote(F.col("_v")).alias("value"))
 
 
 def digit_ensemble(readings: DataFrame, key: list[str]) -> DataFrame:
     """digits() with the share of readings that agree, their number and all values in order of reading."""
-    voted = digits(readings, key)
-    some = readings.where("value IS NOT NULL").withColumnRenamed("value", "_v")
-    joined = some.join(voted, key)
-    return joined.groupBy(*key, "value").agg(
-        F.round(F.avg((F.col("_v") == F.col("value")).cast("double")), 4).alias("agreement"),
-        F.count(F.lit(1)).alias("n_readings"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("reading", "_v"))), lambda r: r["_v"].cast("string")), ",").alias("all_values"),
+    read = readings.where("value IS NOT NULL").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("reading", "value"))).alias("_r"))
+    values = F.transform("_r", lambda r: r["value"])
+    voted = read.select(*key, values.alias("_v"), _digit_vote(values).alias("value"))
+    agree = F.size(F.filter("_v", lambda v: v == F.col("value"))) / F.size("_v")
+    return voted.select(
+        *key,
+        "value",
+        F.round(agree, 4).alias("agreement"),
+        F.size("_v").cast("long").alias("n_readings"),
+        F.array_join(F.transform("_v", lambda v: v.cast("string")), ",").alias("all_values"),
     )
 
 

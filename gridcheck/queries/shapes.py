@@ -136,14 +136,30 @@ def row_answers(spark, d):
 
 
 def _markdown(spark, d):
-    """A page of text per table and section, with a short table before the long one. Values are of four digits, as rows of small numbers count as column numbers."""
-    w = t.obs(spark, d).where("grp <> 'ALL' AND row_ord < 99")
-    p = w.groupBy("table_id", "section", "row_ord", "age").pivot("grp", ["F", "O"]).agg((F.max("males") + 1000).alias("m"), (F.max("females") + 1000).alias("f"))
-    line = F.concat(F.lit("| "), F.col("age"), *[F.concat(F.lit(" | "), F.coalesce(F.col(k).cast("string"), F.lit(".."))) for k in ("F_m", "F_f", "O_m", "O_f")], F.lit(" |"))
+    """A page of text per table and section, with a short table before the long one, two labels that open sections of rows, and a
+    Total row. Every second table prints persons, and one in three has its spans drawn together."""
+    w = t.obs(spark, d).where("grp <> 'ALL'")
+    p = w.groupBy("table_id", "section", "row_ord", "age").pivot("grp", ["F", "O"]).agg(*[F.max(c).alias(c[0]) for c in t.COLS])
+    shown = lambda k: F.concat(F.lit(" | "), F.coalesce(F.col(k).cast("string"), F.lit("..")))
+    three, two = [f"{g}_{c}" for g in "FO" for c in "pmf"], [f"{g}_{c}" for g in "FO" for c in "mf"]
+    odd = F.col("table_id") % 2 == 1
+    values = F.when(odd, F.concat(*map(shown, two))).otherwise(F.concat(*map(shown, three)))
+    blank = F.when(odd, F.lit(" | " * 3)).otherwise(F.lit(" | " * 5))
+    label = lambda name: F.concat(F.lit(f"| {name} | "), blank, F.lit(" |\n"))
+    opens = F.when(F.col("row_ord") == 1, label("1. North")).when(F.col("row_ord") == 4, label("2. South")).otherwise(F.lit(""))
+    line = F.concat(opens, F.lit("| "), F.col("age"), values, F.lit(" |"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_ord", line.alias("l")))), lambda r: r["l"]), "\n")
     g = p.groupBy("table_id", "section").agg(body.alias("body"))
-    head = "Ages\n| a | b |\n| --- | --- |\n\n| AGE | MARRIED | | WIDOWED. | |\n| | Males. | Females | Males | Females |\n| --- | --- | --- | --- | --- |\n| 1 | 2 | 3 | 4 | 5 |\n"
-    return g.select(F.concat_ws("/", F.col("table_id").cast("string"), "section").alias("doc"), F.concat(F.lit(head), F.col("body"), F.lit("\nnotes")).alias("text"))
+    top = (
+        F.when(F.col("table_id") % 3 == 0, F.lit("| AGE | MARRIED | WIDOWED. |"))
+        .when(odd, F.lit("| AGE | MARRIED | | WIDOWED. | |"))
+        .otherwise(F.lit("| AGE | MARRIED | | | WIDOWED. | | |"))
+    )
+    sub = F.when(odd, F.lit("| | Males. | Females | Males | Females |\n| --- |\n| 1 | 2 | 3 | 4 | 5 |")).otherwise(
+        F.lit("| | Persons | Males. | Females | Persons | Males | Females |\n| --- |\n| 1 | 2 | 3 | 4 | 5 | 6 | 7 |")
+    )
+    text = F.concat(F.lit("Ages\n| a | b |\n| --- | --- |\n\n"), top, F.lit("\n"), sub, F.lit("\n"), F.col("body"), F.lit("\nnotes"))
+    return g.select(F.concat_ws("/", F.col("table_id").cast("string"), "section").alias("doc"), text.alias("text"))
 
 
 def markdown_blocks(spark, d):
@@ -153,11 +169,24 @@ def markdown_blocks(spark, d):
 
 def markdown_tables(spark, d):
     out = markdown.read_tables(_markdown(spark, d), "doc")
-    return out.select("doc", "age", "grp", "persons", "males", "females")
-
-
-MD = f"""{t.SQL}, w AS (SELECT table_id, section, row_ord, age, max(CASE WHEN grp = 'F' THEN males END) + 1000 AS fm, max(CASE WHEN grp = 'F' THEN females END) + 1000 AS ff, max(CASE WHEN grp = 'O' THEN males END) + 1000 AS om,
-  max(CASE WHEN grp = 'O' THEN females END) + 1000 AS of_ FROM obs WHERE grp <> 'ALL' AND row_ord < 99 GROUP BY ALL)"""
+    return out.select("doc", "section", "sec_ord", "age", "row_ord", "grp", *t.COLS)
+
+
+_MD_CELLS = ", ".join(f"max(CASE WHEN grp = '{g}' THEN {c} END) AS {g}{c[0]}" for g in "FO" for c in t.COLS)
+_shown = lambda names: " || '|' || ".join(f"coalesce(CAST({n} AS VARCHAR), '..')" for n in names)
+MD = f"""{t.SQL}, w AS (SELECT table_id, section, row_ord, age, table_id || '/' || section AS doc, {_MD_CELLS} FROM obs WHERE grp <> 'ALL' GROUP BY ALL),
+  md_lines AS (
+    SELECT doc, row_ord, 1 AS o, age || '|' || CASE WHEN table_id % 2 = 1 THEN {_shown(["Fm", "Ff", "Om", "Of"])} ELSE {_shown(["Fp", "Fm", "Ff", "Op", "Om", "Of"])} END AS cells FROM w
+    UNION ALL SELECT doc, row_ord, 0, CASE row_ord WHEN 1 THEN '1. North' ELSE '2. South' END || repeat('|', CASE WHEN table_id % 2 = 1 THEN 4 ELSE 6 END) FROM w WHERE row_ord IN (1, 4)),
+  md_heads AS (
+    SELECT DISTINCT doc, CASE WHEN table_id % 3 = 0 THEN 'AGE|MARRIED|WIDOWED.' WHEN table_id % 2 = 1 THEN 'AGE|MARRIED||WIDOWED.|' ELSE 'AGE|MARRIED|||WIDOWED.||' END AS top,
+      CASE WHEN table_id % 2 = 1 THEN '|Males.|Females|Males|Females' ELSE '|Persons|Males.|Females|Persons|Males|Females' END AS sub,
+      CASE WHEN table_id % 2 = 1 THEN '1|2|3|4|5' ELSE '1|2|3|4|5|6|7' END AS nums FROM w),
+  md_blocks AS (
+    SELECT doc, 0 AS row_no, top AS cells FROM md_heads UNION ALL SELECT doc, 1, sub FROM md_heads UNION ALL SELECT doc, 2, nums FROM md_heads
+    UNION ALL SELECT doc, CAST(2 + row_number() OVER (PARTITION BY doc ORDER BY row_ord, o) AS INTEGER), cells FROM md_lines),
+  md_long AS (
+    SELECT table_id, doc, row_ord, age, 'MARRIED' AS grp, Fp AS p, Fm AS m, Ff AS f FROM w UNION ALL SELECT table_id, doc, row_ord, age, 'WIDOWED', Op, Om, Of FROM w)"""
 
 
 def parse_quality(spark, d):
@@ -244,16 +273,17 @@ QUERIES = [
     (
         "markdown_blocks",
         markdown_blocks,
-        f"""WITH {MD}, h AS (SELECT DISTINCT table_id || '/' || section AS doc FROM w)
-        SELECT doc, 0 AS row_no, 'AGE|MARRIED||WIDOWED.|' AS cells FROM h UNION ALL SELECT doc, 1, '|Males.|Females|Males|Females' FROM h UNION ALL SELECT doc, 2, '1|2|3|4|5' FROM h
-        UNION ALL SELECT table_id || '/' || section, CAST(2 + row_number() OVER (PARTITION BY table_id, section ORDER BY row_ord) AS INTEGER),
-          concat_ws('|', age, coalesce(CAST(fm AS VARCHAR), '..'), coalesce(CAST(ff AS VARCHAR), '..'), coalesce(CAST(om AS VARCHAR), '..'), coalesce(CAST(of_ AS VARCHAR), '..')) FROM w""",
+        f"WITH {MD} SELECT doc, row_no, cells FROM md_blocks",
     ),
     (
         "markdown_tables",
         markdown_tables,
-        f"""WITH {MD} SELECT table_id || '/' || section AS doc, age, 'MARRIED' AS grp, coalesce(fm, 0) + coalesce(ff, 0) AS persons, coalesce(fm, 0) AS males, coalesce(ff, 0) AS females FROM w
-        UNION ALL SELECT table_id || '/' || section, age, 'WIDOWED', coalesce(om, 0) + coalesce(of_, 0), coalesce(om, 0), coalesce(of_, 0) FROM w""",
+        f"""WITH {MD}, o AS (
+          SELECT *, count(*) FILTER (WHERE row_ord IN (1, 4)) OVER (PARTITION BY doc, grp ORDER BY row_ord) AS n,
+            max(CASE WHEN row_ord IN (1, 4) THEN row_ord END) OVER (PARTITION BY doc, grp ORDER BY row_ord) AS opened FROM md_long)
+        SELECT doc, CASE opened WHEN 1 THEN 'North' WHEN 4 THEN 'South' ELSE 'All' END AS section, CAST(n AS INTEGER) AS sec_ord, age,
+          CAST(row_number() OVER (PARTITION BY doc, grp, n ORDER BY row_ord) AS INTEGER) AS row_ord, grp,
+          CASE WHEN table_id % 2 = 1 THEN coalesce(m, 0) + coalesce(f, 0) ELSE coalesce(p, 0) END AS persons, coalesce(m, 0) AS males, coalesce(f, 0) AS females FROM o""",
     ),
     (
         "parse_quality",
