@@ -9,10 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcheck.queries import batch, checks, labels, repairs, scores, shapes, votes
+from gridcheck.queries import batch, checks, labels, repairs, scores, shapes, truths, votes
 
 FLAGSHIP = "verify_summary"
-MODULES = (checks, votes, labels, scores, repairs, shapes, batch)
+MODULES = (checks, votes, labels, scores, repairs, shapes, truths, batch)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

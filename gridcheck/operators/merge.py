@@ -53,11 +53,15 @@ def sum_conditions(rows: DataFrame, key: list[str], parts: tuple[str, ...] = ("U
 
 def match_districts(pred: DataFrame, truth: DataFrame, within: list[str]) -> DataFrame:
     """Names of pred to those of truth: equal once normalised, then, among
-    the rest, where one contains the other, the longest name of truth first,
-    each used once. Greedy within a group, which is a list of places."""
-    p = pred.withColumn("_p", normalize_district(F.col("name")))
-    t = truth.withColumn("_t", normalize_district(F.col("name")))
-    equal = p.join(t.withColumnRenamed("name", "match"), [*within]).where("_p = _t").groupBy(*within, "name").agg(F.min("match").alias("match"))
+    the rest, where one contains the other, the longest name of truth first.
+    Each name is used once: of several that are equal once normalised, the
+    first goes with the first. A truth of which nothing is left matches none.
+    Greedy within a group, which is a list of places."""
+    nth = lambda c: F.row_number().over(Window.partitionBy(*within, c).orderBy("name"))
+    p = pred.withColumn("_p", normalize_district(F.col("name"))).withColumn("_nth", nth("_p"))
+    t = truth.withColumn("_t", normalize_district(F.col("name"))).where("_t <> ''").withColumn("_nth", nth("_t"))
+    equal = p.withColumn("_t", F.col("_p")).join(t.withColumnRenamed("name", "match"), [*within, "_t", "_nth"]).select(*within, "name", "match")
+    p, t = p.drop("_nth"), t.drop("_nth")
     left = p.join(equal, [*within, "name"], "left_anti")
     free = t.join(equal.select(*within, F.col("match").alias("name")), [*within, "name"], "left_anti").withColumnRenamed("name", "match")
     pairs = left.join(free, within).where(F.contains("_p", F.col("_t")) | F.contains("_t", F.col("_p")))

@@ -204,12 +204,12 @@ def repair_tables(terms: DataFrame) -> DataFrame:
             for r in pdf.itertuples()
         ]
         board, log, before = repair(rows)
-        out = [(int(pdf.table_id.iloc[0]), k, *cell, old, new, before, len(board.failing())) for k, cell, old, new in log]
-        out = out or [(int(pdf.table_id.iloc[0]), "none", None, None, None, None, None, None, before, before)]
-        return pd.DataFrame(out, columns=["table_id", "action", "section", "row_ord", "grp", "col", "old", "new", "before", "after"]).astype({"row_ord": "Int32", "old": "Int64", "new": "Int64"})
+        out = [(int(pdf.table_id.iloc[0]), step, k, *cell, old, new, before, len(board.failing())) for step, (k, cell, old, new) in enumerate(log)]
+        out = out or [(int(pdf.table_id.iloc[0]), 0, "none", None, None, None, None, None, None, before, before)]
+        return pd.DataFrame(out, columns=["table_id", "step", "action", "section", "row_ord", "grp", "col", "old", "new", "before", "after"]).astype({"row_ord": "Int32", "old": "Int64", "new": "Int64"})
 
     return terms.groupBy("table_id").applyInPandas(
-        run, "table_id long, action string, section string, row_ord int, grp string, col string, old long, new long, before long, after long"
+        run, "table_id long, step int, action string, section string, row_ord int, grp string, col string, old long, new long, before long, after long"
     )
 
 

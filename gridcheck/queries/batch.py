@@ -127,14 +127,6 @@ AFTER = """WITH r AS (SELECT l_suppkey AS table_id, l_linenumber AS row_ord, sum
 SELECT table_id, row_ord, CASE WHEN tot THEN 'total' ELSE 'leaf' END AS kind, coalesce(bool_or(tot) OVER (PARTITION BY table_id ORDER BY row_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS after_total FROM r"""
 
 
-def group_filter(spark, d):
-    """The first group of a fuzzy name, the section by place, brackets without totals."""
-    n = t.load(spark, d, "nation").select("n_regionkey", "n_nationkey", F.concat_ws(" ", F.upper("n_name"), F.lit(". ")).alias("name"))
-    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
-    cleaned = n.withColumn("clean", F.lower(F.expr("trim(BOTH '. ' FROM name)"))).withColumn("place", F.row_number().over(w))
-    return cleaned.where("place <= 2 AND NOT startswith(clean, 'total')").select("n_regionkey", "clean", "place")
-
-
 QUERIES = [
     ("result_classifier", result_classifier, f"WITH {STATES} SELECT * FROM states"),
     ("worklist", worklist, f"WITH {STATES} SELECT * FROM states WHERE state <> 'perfect'"),
@@ -169,10 +161,4 @@ QUERIES = [
     ),
     ("phase_counts", phase_counts, "SELECT event_type AS phase, count(*) AS n, round(avg(value), 4) AS mean FROM events GROUP BY event_type"),
     ("after_total", after_total, AFTER),
-    (
-        "group_filter",
-        group_filter,
-        """WITH n AS (SELECT n_regionkey, lower(trim(upper(n_name) || ' . ', '. ')) AS clean, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS place FROM nation)
-        SELECT * FROM n WHERE place <= 2 AND NOT starts_with(clean, 'total')""",
-    ),
 ]

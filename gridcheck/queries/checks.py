@@ -78,12 +78,6 @@ def verify_summary(spark, d):
     return rolled.withColumns({"table_id": F.coalesce("table_id", F.lit(-1).cast("bigint")), "level": F.coalesce("level", F.lit("ALL"))})
 
 
-def reverify(spark, d):
-    """The constraints of the observed tables, held against the clean ones."""
-    terms = c.incidence(t.obs(spark, d))
-    return c.reevaluate(c.cells(t.clean(spark, d)), terms).groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.count_if("passed").alias("passed"))
-
-
 def _ranges(spark, d):
     """Sections of range labels: part sizes as single years, and five-year and wider rows after them."""
     p = t.load(spark, d, "part")
@@ -118,20 +112,6 @@ TILING = f"""WITH RECURSIVE {RANGES}, walk AS (
 SELECT section, row_ord, lo0 || '-' || hi0 AS age_norm, names AS components FROM walk WHERE need = lo0 AND n >= 2"""
 
 
-def _shares(spark, d):
-    """Shares per 1000 of order priorities by status: a proportional table."""
-    o = t.load(spark, d, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    whole = F.sum("n").over(Window.partitionBy("o_orderstatus"))
-    return o.select("o_orderstatus", "o_orderpriority", F.floor(F.col("n") * 1000 / whole + 0.5).cast("bigint").alias("share"))
-
-
-def proportional_tolerance(spark, d):
-    """Rounded shares may miss 1000 by two for each of their rows."""
-    s = _shares(spark, d).groupBy("o_orderstatus").agg(F.sum("share").alias("total"), F.count(F.lit(1)).alias("n"))
-    diff = F.col("total") - 1000
-    return s.select("o_orderstatus", "total", diff.alias("diff"), (F.abs(diff) <= 2 * F.col("n")).alias("passed"))
-
-
 def known_totals(spark, d):
     long = c.cells(t.obs(spark, d)).where("grp = 'ALL' AND section = 'ALL'")
     known = c.cells(t.clean(spark, d)).where("grp = 'ALL' AND section = 'ALL' AND table_id = 1").select("age_norm", "col", F.col("value").alias("expected"))
@@ -185,16 +165,7 @@ QUERIES = [
         f"""{ALL} SELECT coalesce(table_id, -1) AS table_id, coalesce(level, 'ALL') AS level, count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed,
         count(*) FILTER (WHERE NOT passed) AS failed, bool_and(passed) AS all_passed FROM checks GROUP BY ROLLUP (checks.table_id, checks.level)""",
     ),
-    ("reverify_clean", reverify, None),
     ("subtotal_tiling", subtotal_tiling, TILING),
-    (
-        "proportional_tolerance",
-        proportional_tolerance,
-        """WITH n AS (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL),
-        s AS (SELECT o_orderstatus, CAST(floor(n * 1000 / sum(n) OVER (PARTITION BY o_orderstatus) + 0.5) AS BIGINT) AS share FROM n)
-        SELECT o_orderstatus, CAST(sum(share) AS BIGINT) AS total, CAST(sum(share) - 1000 AS BIGINT) AS diff, abs(sum(share) - 1000) <= 2 * count(*) AS passed
-        FROM s GROUP BY o_orderstatus""",
-    ),
     (
         "known_totals",
         known_totals,

@@ -142,27 +142,6 @@ n AS (SELECT table_id, section, count(DISTINCT age_norm) AS n FROM kept WHERE ro
 SELECT * FROM m JOIN w USING (table_id, section) WHERE n < most - 1 AND worst >= 5"""
 
 
-def structural_sections(spark, d):
-    long = c.cells(t.obs(spark, d))
-    truth = c.cells(t.clean(spark, d)).select(*c.CELL, F.col("value").alias("_t"))
-    bad = long.join(truth, c.CELL).where("value <> _t").withColumn("diff", F.col("value") - F.col("_t"))
-    return r.structural(bad)
-
-
-def solver_repair(spark, d):
-    return solve.repair_tables(c.incidence(t.obs(spark, d)))
-
-
-def ensemble_solve(spark, d):
-    """Five readings of every cell, some of them wrong, solved by votes and equations."""
-    truth = c.cells(t.clean(spark, d)).where("section <> 'ALL' AND grp <> 'ALL'")
-    reads = truth.withColumn("reading", F.explode(F.sequence(F.lit(1), F.lit(5))))
-    off = F.pmod(F.xxhash64("table_id", "section", "row_ord", "grp", "col", "reading"), F.lit(10))
-    value = F.when(off < 3, F.col("value") + off * 10 + 5).otherwise(F.col("value"))
-    key = ["table_id", "section", "grp", "age_norm", "row_ord", "col"]
-    return solve.ensemble_tables(vote.histogram(reads.withColumn("value", value), key), 5)
-
-
 QUERIES = [
     (
         "digit_fix",
@@ -217,14 +196,4 @@ QUERIES = [
     ("reconcile_fixpoint", reconcile_fixpoint, RECON),
     ("row_cascade", row_cascade, CASCADE),
     ("truncated_sections", truncated_sections, TRUNC),
-    (
-        "structural_sections",
-        structural_sections,
-        f"""WITH {LONG}, {LONG[LONG.index('long AS'):].replace('long AS', 'true_ AS').replace('FROM obs', 'FROM clean')},
-        b AS (SELECT o.table_id, o.section, o.value, o.value - g.value AS diff FROM long o JOIN true_ g USING (table_id, section, row_ord, grp, col) WHERE o.value <> g.value)
-        SELECT table_id, section, count(*) AS n, count(*) FILTER (WHERE abs(diff) * 2 > abs(value)) AS huge FROM b GROUP BY ALL
-        HAVING count(*) >= 10 AND count(*) FILTER (WHERE abs(diff) * 2 > abs(value)) >= count(*) // 2""",
-    ),
-    ("solver_repair", solver_repair, None),
-    ("ensemble_solve", ensemble_solve, None),
 ]
