@@ -88,6 +88,18 @@ def safe_int(c: Column) -> Column:
     return _whole(_rx(F.trim(c), "[, ]"))
 
 
+def normalize_number(c: Column) -> Column:
+    """A number of parsed JSON as a cell: rounded half to even; null, NaN and infinities are 0, as empty cells are."""
+    x = c.cast("double")
+    return F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), 0).otherwise(F.bround(x)).cast("bigint")
+
+
+def safe_number(c: Column) -> Column:
+    """As normalize_number, but what is no number is null."""
+    x = c.cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), F.bround(x).cast("bigint"))
+
+
 def parse_cell_value(c: Column) -> Column:
     """As normalize_value; an ellipsis is 0 too, and a middle-dot decimal is rounded half to even."""
     s = F.trim(c)

@@ -206,8 +206,11 @@ def subtotal_members(kinds: DataFrame) -> DataFrame:
     return member.groupBy("table_id", "section", "age_norm").agg(F.collect_set(F.struct(F.col("_sub").alias("sub"), coef.alias("coef"))).alias("subs"))
 
 
-def incidence(wide: DataFrame, first_group: str = "ALL", first_section: str = "ALL", persons_independent: bool = False) -> DataFrame:
-    """All constraints of the tables of wide, in one pass over their cells.
+def incidence(
+    wide: DataFrame, first_group: str = "ALL", first_section: str = "ALL", persons_independent: bool = False, known: DataFrame | None = None
+) -> DataFrame:
+    """All constraints of the tables of wide, in one pass over their cells,
+    and those of known totals (age_norm, col, expected), if there are any.
 
     Each cell is joined to its row's kind and its table's active cross
     checks, both small, and unfolds into its memberships. Constraints that
@@ -240,7 +243,8 @@ def incidence(wide: DataFrame, first_group: str = "ALL", first_section: str = "A
     found = F.filter(F.concat(F.array(*member), F.coalesce(subs, F.filter(F.array(*member), lambda _: F.lit(False)))), lambda m: m.isNotNull())
     each = long.select("table_id", "section", "row_ord", "age_norm", "grp", "col", "value", F.explode(found).alias("_m"))
     zero = F.lit(0).cast("bigint")
-    return each.select("table_id", "_m.cid", "_m.level", "section", "row_ord", "age_norm", "grp", "col", "_m.coef", "value", "_m.op", zero.alias("rhs"), zero.alias("tol"))
+    terms = each.select("table_id", "_m.cid", "_m.level", "section", "row_ord", "age_norm", "grp", "col", "_m.coef", "value", "_m.op", zero.alias("rhs"), zero.alias("tol"))
+    return terms if known is None else terms.unionByName(known_totals(cells(wide), known))
 
 
 def evaluate(terms: DataFrame) -> DataFrame:

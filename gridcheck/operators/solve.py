@@ -115,6 +115,25 @@ def single_digits(board: Board):
                 yield "digit_with_persons", {cell: new, p: board.value[p] + new - value}
 
 
+def with_total(board: Board, first: str = "ALL"):
+    """A digit of a part and the same change of the total group's cell, whose own sum hid it; persons of both follow."""
+    for cid in board.failing():
+        if board.rule[cid][0] != "=":
+            continue
+        for cell, coef in board.members[cid]:
+            section, row_ord, grp, col = cell
+            whole = (section, row_ord, first, col)
+            value = board.value[cell]
+            new = digit_moves(value).get(-board.residual[cid] * coef * (1 if value >= 0 else -1))
+            if new is None or grp == first or board.value.get(whole) is None:
+                continue
+            change = {cell: new, whole: board.value[whole] + new - value}
+            yield "digit_with_total", change
+            persons = [board.row(x)[0] for x in change]
+            if col != "persons" and all(board.value.get(p) is not None for p in persons):
+                yield "digit_with_totals", change | {p: board.value[p] + new - value for p in persons}
+
+
 def negatives(board: Board):
     for cid in board.failing("L5"):
         for cell, _ in board.members[cid]:
@@ -169,7 +188,7 @@ def rebalance(board: Board):
         yield "persons", {p: board.value[m] + board.value[f]}
 
 
-STRATEGIES = (negatives, swaps, single_digits, paired_digits, two_digits, rebalance)
+STRATEGIES = (negatives, swaps, single_digits, paired_digits, with_total, two_digits, rebalance)
 
 
 def repair(terms: list[tuple]) -> tuple[Board, list[tuple], int]:
@@ -380,8 +399,9 @@ def reconcile(cells: dict, conf: dict, equations: list[tuple], threshold: float
     return log
 
 
-def reconcile_tables(long: DataFrame, first: str = "ALL") -> DataFrame:
-    """reconcile() across groups for every table of (table_id, section, row_ord, grp, col, value, conf)."""
+def reconcile_tables(long: DataFrame, first: str = "ALL", rows: bool = False) -> DataFrame:
+    """reconcile() across groups for every table of (table_id, section, row_ord, grp, col, value, conf); with rows, also
+    by persons = males + females, so that what one equation settles serves the others."""
 
     def run(pdf):
         import pandas as pd
@@ -393,6 +413,9 @@ def reconcile_tables(long: DataFrame, first: str = "ALL") -> DataFrame:
             conf[cell] = float(r.conf)
             lines[cell[:3]].append(cell)
         equations = [(next(x for x in xs if x[3] == first), [x for x in xs if x[3] != first]) for xs in lines.values() if any(x[3] == first for x in xs)]
+        if rows:
+            places = dict.fromkeys((s, n, g) for s, n, _, g in cells)
+            equations += [((s, n, "persons", g), [(s, n, "males", g), (s, n, "females", g)]) for s, n, g in places]
         log = reconcile(cells, conf, equations)
         return pd.DataFrame([(int(pdf.table_id.iloc[0]), *x, old, new) for x, old, new in log], columns=["table_id", "section", "row_ord", "col", "grp", "old", "new"])
 

@@ -99,9 +99,10 @@ SELECT l_partkey, l_linenumber, arg_min(v, o) AS first, arg_max(v, o) AS last FR
 
 
 def total_rows(spark, d):
-    """The printed Total, or the sum of the leaves where none is printed."""
-    wide = t.obs(spark, d).where("NOT (row_ord = 99 AND table_id % 3 = 1) AND grp = 'F'")
-    return wide.groupBy("table_id", "section").agg(F.coalesce(F.max(F.when(F.col("row_ord") == 99, F.col("males"))), F.sum(F.when(F.col("row_ord") < 99, F.col("males")))).alias("males"))
+    """The printed Total of each group, or the sum of the leaves where none is printed."""
+    wide = t.obs(spark, d).where("NOT (row_ord = 99 AND table_id % 3 = 1)")
+    total = lambda k: F.coalesce(F.max(F.when(F.col("row_ord") == 99, F.col(k))), F.sum(F.when(F.col("row_ord") < 99, F.col(k)))).alias(k)
+    return wide.groupBy("table_id", "section", "grp").agg(*map(total, t.COLS))
 
 
 def top_failures(spark, d):
@@ -150,8 +151,8 @@ QUERIES = [
     (
         "total_rows",
         total_rows,
-        f"""WITH {t.SQL} SELECT table_id, section, coalesce(max(CASE WHEN row_ord = 99 THEN males END), CAST(sum(CASE WHEN row_ord < 99 THEN males END) AS BIGINT)) AS males
-        FROM obs WHERE NOT (row_ord = 99 AND table_id % 3 = 1) AND grp = 'F' GROUP BY ALL""",
+        f"""WITH {t.SQL} SELECT table_id, section, grp, {', '.join(f"coalesce(max(CASE WHEN row_ord = 99 THEN {k} END), CAST(sum(CASE WHEN row_ord < 99 THEN {k} END) AS BIGINT)) AS {k}" for k in t.COLS)}
+        FROM obs WHERE NOT (row_ord = 99 AND table_id % 3 = 1) GROUP BY ALL""",
     ),
     (
         "top_failures",

@@ -214,6 +214,18 @@ SELECT event_id, CASE WHEN event_id % 5 < 3 THEN CAST(json_extract_string(props,
   regexp_replace(regexp_replace(raw, '(\\d)_(\\d)', '\\1\\2', 'g'), '(\\d)_(\\d)', '\\1\\2', 'g') AS plain FROM r"""
 
 
+def number_cells(spark, d):
+    """Numbers of parsed JSON as cells: halves go to the even side."""
+    li = t.load(spark, d, "lineitem").groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("n"))
+    half = F.when(F.col("n") % 5 == 0, float("nan")).when(F.col("n") % 5 == 1, None).otherwise((F.col("n") - 100) / 2)
+    return li.select("l_partkey", x.normalize_number(half).alias("normal"), x.safe_number(half).alias("safe"))
+
+
+NUMBER_SQL = """WITH s AS (SELECT l_partkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n FROM lineitem GROUP BY l_partkey),
+h AS (SELECT l_partkey, CASE WHEN n % 5 > 1 THEN n - 100 END AS two FROM s)
+SELECT l_partkey, coalesce(v, 0) AS normal, v AS safe FROM (SELECT l_partkey, CAST(round_even(two / 2.0, 0) AS BIGINT) AS v FROM h)"""
+
+
 def corrections(spark, d):
     """How far corrections go and which are not plausible."""
     li = t.load(spark, d, "lineitem")
@@ -249,6 +261,7 @@ QUERIES = [
     ("district_names", district_names, DISTRICT_SQL),
     ("headings", headings, HEAD_SQL),
     ("model_answers", model_answers, ANSWER_SQL),
+    ("number_cells", number_cells, NUMBER_SQL),
     ("corrections", corrections, CORRECTION_SQL),
     ("crop_fractions", crops, CROP_SQL),
 ]

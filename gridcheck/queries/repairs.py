@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridcheck.functions.text import CONFUSED
@@ -77,17 +78,17 @@ L2F = """fail AS (SELECT table_id, section, grp, col, CAST(sum(CASE WHEN row_ord
 
 def column_confusion(spark, d):
     """Of a table's two groups, the later copies the earlier in three rows of four for some tables."""
-    long = c.cells(t.clean(spark, d)).where("grp <> 'ALL' AND section = 'N'")
-    copied = long.where("grp = 'F'").select("table_id", "row_ord", "col", F.col("value").alias("_f"))
-    joined = long.join(copied, ["table_id", "row_ord", "col"], "left")
+    long = c.cells(t.clean(spark, d)).where("grp <> 'ALL'")
+    copied = long.where("grp = 'F'").select("table_id", "section", "row_ord", "col", F.col("value").alias("_f"))
+    joined = long.join(copied, ["table_id", "section", "row_ord", "col"], "left")
     value = F.when((F.col("grp") == "O") & (F.col("table_id") % 5 == 1) & (F.col("row_ord") % 4 > 0), F.coalesce("_f", "value")).otherwise(F.col("value"))
     return r.confused_groups(joined.withColumn("value", value), ["table_id", "section"])
 
 
-CONFUSION = f"""WITH {LONG}, cl AS (SELECT table_id, row_ord, grp, unnest(['persons', 'males', 'females']) AS col, unnest([persons, males, females]) AS value FROM clean WHERE grp <> 'ALL' AND section = 'N'),
-m AS (SELECT o.table_id, o.row_ord, o.col, f.value AS l, CASE WHEN o.table_id % 5 = 1 AND o.row_ord % 4 > 0 THEN f.value ELSE o.value END AS v
-  FROM cl o JOIN cl f ON f.table_id = o.table_id AND f.row_ord = o.row_ord AND f.col = o.col AND o.grp = 'O' AND f.grp = 'F')
-SELECT table_id, 'N' AS section, 'O' AS grp, 'F' AS left_grp, count(*) AS cells, count(*) FILTER (WHERE l = v) AS equal FROM m GROUP BY table_id HAVING 2 * count(*) FILTER (WHERE l = v) > count(*)"""
+CONFUSION = f"""WITH {LONG}, cl AS (SELECT table_id, section, row_ord, grp, unnest(['persons', 'males', 'females']) AS col, unnest([persons, males, females]) AS value FROM clean WHERE grp <> 'ALL'),
+m AS (SELECT o.table_id, o.section, o.row_ord, o.col, f.value AS l, CASE WHEN o.table_id % 5 = 1 AND o.row_ord % 4 > 0 THEN f.value ELSE o.value END AS v
+  FROM cl o JOIN cl f ON f.table_id = o.table_id AND f.section = o.section AND f.row_ord = o.row_ord AND f.col = o.col AND o.grp = 'O' AND f.grp = 'F')
+SELECT table_id, section, 'O' AS grp, 'F' AS left_grp, count(*) AS cells, count(*) FILTER (WHERE l = v) AS equal FROM m GROUP BY table_id, section HAVING 2 * count(*) FILTER (WHERE l = v) > count(*)"""
 
 
 def cross_group_discrepancy(spark, d):
@@ -104,10 +105,25 @@ def reconcile_candidate(spark, d):
 
 
 def reconcile_fixpoint(spark, d):
-    """The deductions to a fixed point. Equations across groups share no cell, so one pass finds them all."""
+    """The deductions to a fixed point: equations across groups and, in rows, of persons; a cell that one settles is strong in the other."""
     return solve.reconcile_tables(_weighed(spark, d))
 
 
+def _chained(spark, d):
+    """Clean leaves of the groups F and O, the cell (F, males) off by 5 and weak, and persons of F off by 9 and weak: the males follow from ALL, then the persons from the row."""
+    long = c.cells(t.clean(spark, d)).where("section <> 'ALL'")
+    both = F.count(F.lit(1)).over(Window.partitionBy("table_id", "section", "row_ord", "col")) == 3
+    long = long.withColumn("_both", both).where("_both").drop("_both")
+    males, persons = (F.col("grp") == "F") & (F.col("col") == "males"), F.col("col") == "persons"
+    value = F.when(males, F.col("value") + 5).when(persons & (F.col("grp") == "F"), F.col("value") + 9).otherwise(F.col("value"))
+    return long.withColumn("value", value).withColumn("conf", F.when(males | persons, 0.25).otherwise(1.0))
+
+
+def reconcile_chain(spark, d):
+    """Two rounds are needed: persons of F depend on males that the first round mends."""
+    return solve.reconcile_tables(_chained(spark, d), rows=True).where("grp = 'F'").select("table_id", "section", "row_ord", "col", "old", "new")
+
+
 RECON = f"""WITH {LONG}, w AS (SELECT *, ((row_ord * 3 + table_id + ascii(grp)) % 5) / 4 AS conf, CASE WHEN grp = 'ALL' THEN 1 ELSE -1 END AS k FROM long),
 e AS (SELECT *, sum(CASE WHEN conf < 0.75 THEN 1 ELSE 0 END) OVER q AS weak, sum(k * value) OVER q AS total, count(*) OVER q - count(value) OVER q AS gaps
   FROM w WINDOW q AS (PARTITION BY table_id, section, row_ord, col))
@@ -142,7 +158,11 @@ n AS (SELECT table_id, section, count(DISTINCT age_norm) AS n FROM kept WHERE ro
 SELECT * FROM m JOIN w USING (table_id, section) WHERE n < most - 1 AND worst >= 5"""
 
 
+CHAIN = f"""WITH {t.SQL}, two AS (SELECT table_id, section, row_ord FROM clean WHERE section <> 'ALL' GROUP BY ALL HAVING count(*) = 3), x AS (SELECT * FROM clean JOIN two USING (table_id, section, row_ord) WHERE grp = 'F')
+SELECT table_id, section, row_ord, 'males' AS col, males + 5 AS old, males AS new FROM x UNION ALL SELECT table_id, section, row_ord, 'persons', persons + 9, persons FROM x"""
+
 QUERIES = [
+    ("reconcile_chain", reconcile_chain, CHAIN),
     (
         "digit_fix",
         digit_fix,

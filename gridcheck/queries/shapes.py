@@ -124,14 +124,33 @@ def nested_round_trip(spark, d):
 
 
 def row_answers(spark, d):
-    """Lists of rows in answers: bare arrays and wrapped ones."""
+    """Lists of rows in answers: bare arrays, and objects whose longest list counts, whatever its key."""
     o = t.load(spark, d, "orders")
     row = F.format_string('{"age":"%d-%d","persons":%d}', F.col("o_custkey"), F.col("o_custkey") + 5, F.col("o_orderkey"))
-    text = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("```\n["), row, F.lit("]\n```"))).otherwise(F.concat(F.lit('{"note":"ok","rows":['), row, F.lit("]}")))
+    k = F.col("o_orderkey") % 3
+    text = (
+        F.when(k == 0, F.concat(F.lit("```\n["), row, F.lit("]\n```")))
+        .when(k == 1, F.concat(F.lit('{"note":"ok","rows":['), row, F.lit("]}")))
+        .otherwise(F.concat(F.lit('So: {"notes":[{"age":"x"}],"table":['), row, F.lit(","), row, F.lit('],"n":2}')))
+    )
     out = documents.parse_rows(o.select("o_orderkey", text.alias("text")), "age string, persons bigint")
     return out.select("o_orderkey", F.explode("rows").alias("r")).select("o_orderkey", "r.age", "r.persons")
 
 
+def flat_answers(spark, d):
+    """Answers that hold sections, and answers whose rows stand alone, as the section All."""
+    o = t.load(spark, d, "orders")
+    row = F.format_string('{"age":"0-5","groups":{"X":{"males":%d,"females":%d}}}', F.col("o_orderkey"), F.col("o_custkey"))
+    k = F.col("o_orderkey") % 3
+    text = (
+        F.when(k == 0, F.concat(F.lit('{"sections":[{"name":"S","rows":['), row, F.lit("]}]}")))
+        .when(k == 1, F.concat(F.lit('{"metadata":{"title":"t"},"rows":['), row, F.lit("]} ")))
+        .otherwise(F.lit('{"rows":[]}'))
+    )
+    parsed = documents.parse_answers(o.select("o_orderkey", text.alias("text")))
+    return documents.unnest(parsed, ["o_orderkey"]).select("o_orderkey", "section", "age", "grp", *t.COLS)
+
+
 # --- markdown ------------------------------------------------------------------------------
 
 
@@ -269,7 +288,17 @@ QUERIES = [
         nested_round_trip,
         f"WITH {t.SQL} SELECT table_id, section, age, grp, coalesce(persons, males + females) AS persons, males, females FROM obs WHERE section <> 'ALL'",
     ),
-    ("row_answers", row_answers, "SELECT o_orderkey, o_custkey || '-' || (o_custkey + 5) AS age, o_orderkey AS persons FROM orders"),
+    (
+        "row_answers",
+        row_answers,
+        "SELECT o_orderkey, o_custkey || '-' || (o_custkey + 5) AS age, o_orderkey AS persons FROM orders JOIN range(2) r(n) ON n = 0 OR o_orderkey % 3 = 2",
+    ),
+    (
+        "flat_answers",
+        flat_answers,
+        """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'S' ELSE 'All' END AS section, '0-5' AS age, 'X' AS grp, o_orderkey + o_custkey AS persons, o_orderkey AS males, o_custkey AS females
+        FROM orders WHERE o_orderkey % 3 < 2""",
+    ),
     (
         "markdown_blocks",
         markdown_blocks,

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from gridcheck.functions.text import tolerant_json
 
 GROUP = "struct<persons:bigint,males:bigint,females:bigint>"
-TABLE = f"struct<metadata:struct<title:string,region:string,year:int,data_type:string,column_groups:array<string>>,sections:array<struct<name:string,rows:array<struct<age:string,groups:map<string,{GROUP}>>>>>>"
+META = "struct<title:string,region:string,year:int,data_type:string,column_groups:array<string>>"
+ROW = f"struct<age:string,groups:map<string,{GROUP}>>"
+TABLE = f"struct<metadata:{META},sections:array<struct<name:string,rows:array<{ROW}>>>>"
 RESULT = "source_image string, extraction_method string, api_calls int, elapsed_seconds double, metadata struct<title:string,region:string,year:int,data_type:string,column_groups:array<string>>, data array<struct<name:string,rows:array<map<string,string>>>>, constraints struct<total_checks:int,passed:int,failed:int,all_passed:boolean,failures:array<struct<level:string,section:string,age:string,group:string,col:string,detail:string,diff:bigint>>>"
 LOG = "image string, output_dir string, status string, checks int, failures int, error string, elapsed_seconds double, timestamp timestamp"
 TIDY = "section string, age string, grp string, persons bigint, males bigint, females bigint"
@@ -76,14 +78,20 @@ def unnest(parsed: DataFrame, key: list[str], table: str = "table") -> DataFrame
 
 
 def parse_answers(raw: DataFrame, text_col: str = "text") -> DataFrame:
-    """raw with table, the tolerant parse of an answer; null if it shows no section."""
+    """raw with table, the tolerant parse of an answer: its sections, or its flat rows as the section All; null if it shows neither."""
     t = tolerant_json(F.col(text_col), TABLE)
-    return raw.withColumn("table", F.when(F.size(t["sections"]) > 0, t))
+    flat = tolerant_json(F.col(text_col), f"struct<metadata:{META},rows:array<{ROW}>>")
+    whole = F.struct(flat["metadata"].alias("metadata"), F.array(F.struct(F.lit("All").alias("name"), flat["rows"].alias("rows"))).alias("sections"))
+    return raw.withColumn("table", F.when(F.size(t["sections"]) > 0, t).when(F.size(flat["rows"]) > 0, whole))
 
 
 def parse_rows(raw: DataFrame, fields: str, text_col: str = "text") -> DataFrame:
-    """raw with rows, an array of structs: a JSON array anywhere in the text,
-    else the array `rows` of a JSON object."""
-    as_list = tolerant_json(F.col(text_col), f"array<struct<{fields}>>", "[", "]")
-    wrapped = tolerant_json(F.col(text_col), f"struct<rows:array<struct<{fields}>>>")["rows"]
-    return raw.withColumn("rows", F.coalesce(as_list, wrapped))
+    """raw with rows, an array of structs: a JSON array anywhere in the text
+    that isn't a JSON object, else the longest list of a JSON object, the
+    first among equals."""
+    kind = f"array<struct<{fields}>>"
+    wrapped = F.map_values(tolerant_json(F.col(text_col), "map<string,string>"))
+    lists = F.filter(F.transform(wrapped, lambda v: F.when(F.startswith(F.ltrim(v), F.lit("[")), F.from_json(v, kind))), lambda v: v.isNotNull())
+    longest = F.get(F.filter(lists, lambda v: F.size(v) == F.array_max(F.transform(lists, lambda x: F.size(x)))), F.lit(0))
+    as_list = tolerant_json(F.col(text_col), kind, "[", "]")
+    return raw.withColumn("rows", F.coalesce(longest, as_list))
