@@ -21,6 +21,11 @@ def _rx(c: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(c, pattern, to)
 
 
+def let(value: Column, then) -> Column:
+    """then(value), with value worked out once, however often then uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def normalize_dash(c: Column) -> Column:
     return F.translate(c, DASHES, "-" * len(DASHES))
 

@@ -16,35 +16,31 @@ def digit_fixes(targets: DataFrame) -> DataFrame:
 def two_digit_fixes(targets: DataFrame, key: list[str]) -> DataFrame:
     """Of (key, value, target): the first change of two confusable digits at
     different places that moves the magnitude by target, most significant
-    first. Every confusion of one digit leaves a rest; a rest of one digit
-    with zeros after it names the second change. A row needs no other row."""
-    others = F.create_map(*[x for d, found in _others().items() for x in (F.lit(d), F.array(*[F.lit(int(o)) for o in found]))])
-    tens = F.array(*[F.lit(10**k).cast("long") for k in range(19)])
-    text = F.abs("value").cast("string")
-    size = F.length(text)
-    digit = lambda at: F.substr(text, at + 1, F.lit(1))
-    change = lambda at, other: (other - digit(at).cast("int")).cast("long") * F.get(tens, size - 1 - at)
-    at_place = lambda p: F.transform(F.element_at(others, digit(p)), lambda o: F.struct(p.alias("p1"), o.alias("d1"), (F.col("target") - change(p, o)).alias("rest")))
-    first = F.flatten(F.transform(F.sequence(F.lit(0), size - 1), at_place))
-
-    def second(one):
-        rest = F.abs(one["rest"]).cast("string")
-        place = size - F.length(rest)
-        other = digit(place).cast("int") + F.substr(rest, F.lit(1), F.lit(1)).cast("int") * F.signum(one["rest"]).cast("int")
-        pair = F.concat(digit(place), other.cast("string"))
-        return F.when(rest.rlike("^[1-9]0*$") & (place > one["p1"]) & pair.isin(*CONFUSED), F.struct(one["p1"].alias("p1"), one["d1"].alias("d1"), place.alias("p2")))
-
-    best = F.array_min(F.filter(F.transform(first, second), lambda x: x.isNotNull()))
+    first. In closed form: the lower of the two places is where the target's
+    zeros end, its digit moves by the target's last digit or by that less
+    ten, and the rest must be one digit with zeros after it."""
+    text, moved = F.abs("value").cast("string"), F.abs("target").cast("string")
+    core = F.rtrim(moved, F.lit("0"))
+    low = F.length(moved) - F.length(core)
+    signed = core.try_cast("bigint") * F.signum("target").cast("bigint")
+    digit = lambda place: F.when(F.length(text) > place, F.substr(text, F.length(text) - place, F.lit(1)))
+    becomes = lambda place, by: digit(place).cast("int") + by
+    fits = lambda place, by: F.concat(digit(place), becomes(place, by).cast("string")).isin(*CONFUSED)
+
+    def candidate(by):
+        rest = signed - by
+        shown = F.abs(rest).cast("string")
+        high, step = low + F.length(shown) - 1, F.substr(shown, F.lit(1), F.lit(1)).cast("int") * F.signum(rest).cast("int")
+        place = lambda p: (F.length(text) - 1 - p).alias
+        fix = F.struct(place(high)("p1"), becomes(high, step).alias("d1"), place(low)("p2"))
+        return F.when(shown.rlike("^[1-9]0+$") & fits(high, step) & fits(low, by), fix)
+
+    last = F.pmod(signed, F.lit(10)).cast("int")
     fixed = F.when(F.col("value") < 0, F.col("value") - F.col("target")).otherwise(F.col("value") + F.col("target"))
-    found = targets.withColumn("_fix", best).where("_fix IS NOT NULL")
+    found = targets.withColumn("_fix", F.least(candidate(last), candidate(last - 10))).where("_fix IS NOT NULL")
     return found.select(*key, "value", "target", F.col("_fix.p1").alias("p1"), F.col("_fix.p2").alias("p2"), fixed.alias("fixed"))
 
 
-def _others() -> dict[str, list[str]]:
-    """The digits with which each digit is confused."""
-    return {d: sorted(p[1] for p in CONFUSED if p[0] == d) for d in sorted({p[0] for p in CONFUSED})}
-
-
 def balance_rows(wide: DataFrame) -> DataFrame:
     """The smallest change to a row that doesn't balance is always to persons."""
     sums = F.col("males") + F.col("females")

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridcheck.functions.text import let
+
 
 def histogram(readings: DataFrame, key: list[str]) -> DataFrame:
     """Distinct values of a cell with votes and rank: most votes first, then first seen."""
@@ -56,28 +58,23 @@ def locked(readings: DataFrame, key: list[str], n_readings: int) -> DataFrame:
     return top.where(settled).select(*key, "value", "votes")
 
 
-def _let(value: Column, then) -> Column:
-    """then(value), with value worked out once, however often then uses it."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _digit_vote(values: Column) -> Column:
     """The number that the digits of an array of numbers vote for."""
     ten = F.sequence(F.lit(0), F.lit(9))
 
     def winner(votes):
-        most = _let(F.array_max(votes), lambda top: F.filter(ten, lambda d: F.get(votes, d) == top))
-        return _let(most, lambda tied: F.get(tied, F.floor(F.size(tied) / 2).cast("int")).cast("long"))
+        most = let(F.array_max(votes), lambda top: F.filter(ten, lambda d: F.get(votes, d) == top))
+        return let(most, lambda tied: F.get(tied, F.floor(F.size(tied) / 2).cast("int")).cast("long"))
 
     def number(texts):
-        place = lambda p: _let(
+        place = lambda p: let(
             F.array_join(F.transform(texts, lambda x: F.substr(x, p + 1, F.lit(1))), ""),
-            lambda read: _let(F.transform(ten, lambda d: F.length(read) - F.length(F.replace(read, d.cast("string"), F.lit("")))), winner),
+            lambda read: let(F.transform(ten, lambda d: F.length(read) - F.length(F.replace(read, d.cast("string"), F.lit("")))), winner),
         )
         chosen = F.transform(F.sequence(F.lit(0), F.array_max(F.transform(texts, lambda x: F.length(x))) - 1), place)
         return F.aggregate(F.reverse(chosen), F.lit(0).cast("long"), lambda n, d: n * 10 + d)
 
-    size = _let(F.transform(values, lambda v: F.reverse(F.abs(v).cast("string"))), number)
+    size = let(F.transform(values, lambda v: F.reverse(F.abs(v).cast("string"))), number)
     negative = F.size(F.filter(values, lambda v: v < 0)) * 2 > F.size(values)
     return F.when(negative, -size).otherwise(size)
 
