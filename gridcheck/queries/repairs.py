@@ -173,8 +173,8 @@ QUERIES = [
         "two_digit_fix",
         two_digit_fix,
         f"""WITH {SINGLE} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, value, target, CAST(p1 AS INTEGER) AS p1, CAST(p2 AS INTEGER) AS p2, CASE WHEN value < 0 THEN value - target ELSE value + target END AS fixed
-        FROM (SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey, x.value, x.target, x.pos AS p1, y.pos AS p2, row_number() OVER (PARTITION BY x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey ORDER BY x.pos, x.b, y.pos, y.b) AS n
-          FROM single x JOIN single y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber = y.l_linenumber AND x.l_partkey = y.l_partkey AND x.l_suppkey = y.l_suppkey AND x.pos < y.pos AND y.change = x.target - x.change) WHERE n = 1""",
+        FROM (SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey, x.value, x.target, x.pos AS p1, y.pos AS p2, row_number() OVER (PARTITION BY x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey, x.value ORDER BY x.pos, x.b, y.pos, y.b) AS n
+          FROM single x JOIN single y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber = y.l_linenumber AND x.l_partkey = y.l_partkey AND x.l_suppkey = y.l_suppkey AND x.value = y.value AND x.pos < y.pos AND y.change = x.target - x.change) WHERE n = 1""",
     ),
     (
         "attempt_repair",
