@@ -18,6 +18,7 @@ left; their scores are then resolved exactly.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 BLOCK, QUERY_BLOCK = 2048, 2048
 #: Blocks on a side of a tile, if there are enough of them for TILES tiles.
 SIDE, TILES = 8, 64
-#: Lists that are read before the bounds are drawn again.
-BATCH = 4
+#: Lists that are read before the bounds are drawn again; the first time, those that make up half of all spread, as no bound can tell before.
+BATCH = 8
 SMALL = 2.0**31
 LEAST, MOST = -(2**63), 2**63 - 1
 
@@ -68,13 +69,13 @@ def _held(mark: float) -> float:
 class SortedLists:
     """The vectors of a block as one sorted list for each dimension."""
 
-    def __init__(self, vectors: np.ndarray, ids: np.ndarray):
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, counted: bool = False):
         self.ids, self.vectors = ids, vectors
         self.columns = np.ascontiguousarray(vectors.T)
         self.lists = np.sort(self.columns, axis=1)
         self.low, self.high = (self.lists[:, 0], self.lists[:, -1]) if len(ids) else (np.zeros(len(self.lists)),) * 2
         self.largest = float(np.abs(vectors).max(initial=0))
-        self.read = 0  # entries
+        self.read, self.counted = 0, counted  # entries, if they are to be counted
 
     def _entries(self, d: int, weight: float, cut: float) -> int:
         """Entries of list d, from its best end, that add cut or more."""
@@ -110,17 +111,18 @@ class SortedLists:
         if at < n and self.ids[at] == own:
             alive = np.delete(alive, at)
         so_far = np.zeros(len(alive))
-        for first in range(0, dim, BATCH):
+        half = int(np.count_nonzero(most - least > (most[0] - least[0]) / 2))
+        for first, done in itertools.pairwise([0, *range(max(1, half), dim, BATCH), dim]):
             if len(alive) <= 4 * k:
                 break
-            d = order[first : first + BATCH]
-            mark = _held(mark)
-            reach = so_far.max() + most[first]
-            for one in d.tolist():
-                self.read += self._entries(one, w[one], mark - slack - reach + best[one])
-            part = self.columns[d]
-            so_far = so_far + w[d] @ (part if len(alive) == n else part[:, alive])
-            done = min(first + BATCH, dim)
+            d = order[first:done]
+            if self.counted:
+                reach = so_far.max() + most[first]
+                for one in d.tolist():
+                    self.read += self._entries(one, w[one], _held(mark) - slack - reach + best[one])
+            # Of each list, only what reaches down to that entry can stay below; the rest drops out with it.
+            part = self.columns[d] if len(alive) == n else self.columns[d[:, None], alive]
+            so_far = so_far + w[d] @ part
             if len(alive) > k:
                 mark = max(mark, float(np.partition(so_far, len(alive) - k)[len(alive) - k]) + least[done])
             stays = so_far + most[done] >= _held(mark) - slack
@@ -130,11 +132,11 @@ class SortedLists:
         return alive[found], score[found]
 
 
-def top_of_blocks(blocks: list, queries: list, k: int) -> tuple[list, list, list, int, int]:
-    """(query ids, vector ids, scores) of the best k of each query in these blocks, and the entries read of those there are."""
+def top_of_blocks(blocks: list, queries: list, k: int, counted: bool = False) -> tuple[list, list, list, int, int]:
+    """(query ids, vector ids, scores) of the best k of each query in these blocks, and, if counted, the entries read of those there are."""
     out: tuple[list, list, list] = ([], [], [])
     read = there = 0
-    lists = [SortedLists(x, ids) for _, ids, x in blocks]
+    lists = [SortedLists(x, ids, counted) for _, ids, x in blocks]
     for _, q_ids, weights in queries:
         for own, w in zip(q_ids.tolist(), weights, strict=True):
             best: list[tuple[int, int]] = []

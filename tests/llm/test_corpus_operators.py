@@ -432,7 +432,7 @@ def test_topk_bounds_keep_ties_and_large_numbers():
         full = x[:30].astype(object) @ x.T.astype(object)
         cut = [(k, ids[a : a + 100], x[a : a + 100].astype(float)) for k, a in enumerate(range(0, 400, 100))]
         for blocks in ([(0, ids, x.astype(float))], cut):
-            q, v, s, read, there = topk_search.top_of_blocks(blocks, [(0, ids[:30], x[:30].astype(float))], 5)
+            q, v, s, read, there = topk_search.top_of_blocks(blocks, [(0, ids[:30], x[:30].astype(float))], 5, counted=True)
             assert 0 <= read <= there == 30 * 400 * 6
             for a in range(30):
                 best = sorted((-hold(full[a][b]), int(ids[b])) for b in range(400) if b != a)[:5]
@@ -445,11 +445,11 @@ def test_topk_stops_reading_where_lists_allow():
     x = np.floor(rng.normal(size=(4000, 32)) * 256 / (1 + np.arange(32)) ** 1.5)
     ids = np.arange(4000)
     ask = [(0, ids[:40], x[:40])]
-    *_, read, there = topk_search.top_of_blocks([(0, ids, x)], ask, 5)
+    *_, read, there = topk_search.top_of_blocks([(0, ids, x)], ask, 5, counted=True)
     assert read < 0.3 * there
     halves = [(0, ids[:2000], x[:2000]), (1, ids[2000:], x[2000:])]
-    together = topk_search.top_of_blocks(halves, ask, 5)
-    apart = [topk_search.top_of_blocks([h], ask, 5) for h in halves]
+    together = topk_search.top_of_blocks(halves, ask, 5, counted=True)
+    apart = [topk_search.top_of_blocks([h], ask, 5, counted=True) for h in halves]
     assert together[3] < apart[0][3] + apart[1][3]
 
 
